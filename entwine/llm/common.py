@@ -112,3 +112,24 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     total = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum(_BYTE[buf] * up[: len(buf)], out=total[1:])
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+class WordCache:
+    """A value for each of many 64-bit hashes, in a table of fixed size: a newer hash replaces an older one in its place."""
+
+    def __init__(self, bits: int = 20):
+        self.shift = np.uint64(64 - bits)
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.values = np.zeros(1 << bits, np.float32)
+
+    def get(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values, and which of the hashes have none."""
+        at = (hashes >> self.shift).astype(np.int64)
+        return self.values[at], self.keys[at] != hashes
+
+    def put(self, hashes: np.ndarray, values: np.ndarray) -> None:
+        at = (hashes >> self.shift).astype(np.int64)
+        self.keys[at] = hashes
+        self.values[at] = values
+        lost = self.keys[at] != hashes  # two new hashes in one place: the last key stays, and so must its value
+        self.values[at[~lost]] = values[~lost]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import toxicity
 from .common import table
 from .simhash import near_duplicates
 
@@ -14,8 +15,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def _crc(buckets: int):
+    return F.crc32(F.col("doc_id").cast("string")) % buckets
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train_filter=_crc(3) != 1)
+    return found.select(F.col("id").alias("doc_id"), (F.crc32(F.col("id").cast("string")) % 3 == 1).alias("held_out"), "score", F.col("toxic").cast("int").alias("predicted"))
+
+
 def queries():
-    return {"op6_simhash": op6_simhash}
+    return {"op6_simhash": op6_simhash, "op10_toxicity": op10_toxicity}
 
 
 def oracle_sql():
