@@ -5,11 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import secrets, toxicity
 from .common import table
 from .simhash import near_duplicates
 
 
+def _joined(spans, *kinds):
+    kept = F.filter(spans, lambda s: s["kind"].isin(*kinds)) if kinds else spans
+    return F.array_join(F.transform(kept, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _n(spans, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[_n(spans, k).alias(f"n_{k}") for k in secrets.BASE],
+        F.sha2(_joined(spans, *secrets.BASE), 256).alias("base_sha256"),
+        _joined(spans).alias("spans"),
+        F.size(F.filter(spans, lambda s: s["verdict"] == "copied_example")).cast("long").alias("n_copied"),
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -25,7 +46,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {"op6_simhash": op6_simhash, "op10_toxicity": op10_toxicity}
+    return {"op2_secrets": op2_secrets, "op6_simhash": op6_simhash, "op10_toxicity": op10_toxicity}
 
 
 def oracle_sql():
