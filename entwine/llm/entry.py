@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets, toxicity
+from . import pii, secrets, toxicity
 from .common import table
 from .simhash import near_duplicates
 
@@ -31,6 +31,18 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.select(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["base"])
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[_n(base, k).alias(f"n_{k}") for k in pii.GENERATORS],
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(spans).alias("spans"),
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -46,7 +58,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {"op2_secrets": op2_secrets, "op6_simhash": op6_simhash, "op10_toxicity": op10_toxicity}
+    return {"op2_secrets": op2_secrets, "op4_pii": op4_pii, "op6_simhash": op6_simhash, "op10_toxicity": op10_toxicity}
 
 
 def oracle_sql():
