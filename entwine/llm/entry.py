@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, secrets, toxicity
+from . import pii, quality, secrets, toxicity
 from .common import table
 from .simhash import near_duplicates
 
@@ -52,13 +52,18 @@ def _crc(buckets: int):
     return F.crc32(F.col("doc_id").cast("string")) % buckets
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train_filter=_crc(5) != 0)
+    return found.select(F.col("id").alias("doc_id"), (F.crc32(F.col("id").cast("string")) % 5 == 0).alias("held_out"), "score", F.col("good").cast("int").alias("predicted"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train_filter=_crc(3) != 1)
     return found.select(F.col("id").alias("doc_id"), (F.crc32(F.col("id").cast("string")) % 3 == 1).alias("held_out"), "score", F.col("toxic").cast("int").alias("predicted"))
 
 
 def queries():
-    return {"op2_secrets": op2_secrets, "op4_pii": op4_pii, "op6_simhash": op6_simhash, "op10_toxicity": op10_toxicity}
+    return {"op2_secrets": op2_secrets, "op4_pii": op4_pii, "op6_simhash": op6_simhash, "op8_quality": op8_quality, "op10_toxicity": op10_toxicity}
 
 
 def oracle_sql():
