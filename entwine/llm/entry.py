@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, quality, secrets, toxicity
+from . import pieces, pii, quality, secrets, toxicity
 from .common import table
 from .simhash import near_duplicates
 
@@ -57,13 +57,20 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), (F.crc32(F.col("id").cast("string")) % 5 == 0).alias("held_out"), "score", F.col("good").cast("int").alias("predicted"))
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    found = docs.withColumn("ids", pieces.encode(F.col("text")))
+    found = found.withColumn("decoded", pieces.decode(F.col("ids")))
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train_filter=_crc(3) != 1)
     return found.select(F.col("id").alias("doc_id"), (F.crc32(F.col("id").cast("string")) % 3 == 1).alias("held_out"), "score", F.col("toxic").cast("int").alias("predicted"))
 
 
 def queries():
-    return {"op2_secrets": op2_secrets, "op4_pii": op4_pii, "op6_simhash": op6_simhash, "op8_quality": op8_quality, "op10_toxicity": op10_toxicity}
+    return {"op2_secrets": op2_secrets, "op4_pii": op4_pii, "op6_simhash": op6_simhash, "op8_quality": op8_quality, "op9_pieces": op9_pieces, "op10_toxicity": op10_toxicity}
 
 
 def oracle_sql():
