@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pieces, pii, quality, secrets, toxicity
+from . import decontaminate, pieces, pii, quality, secrets, toxicity
 from .common import table
 from .simhash import near_duplicates
 
@@ -52,6 +52,11 @@ def _crc(buckets: int):
     return F.crc32(F.col("doc_id").cast("string")) % buckets
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), (F.size("items") > 0).alias("contaminated"), F.array_join(F.col("items").cast("array<string>"), ",").alias("item_ids"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train_filter=_crc(5) != 0)
     return found.select(F.col("id").alias("doc_id"), (F.crc32(F.col("id").cast("string")) % 5 == 0).alias("held_out"), "score", F.col("good").cast("int").alias("predicted"))
@@ -70,7 +75,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {"op2_secrets": op2_secrets, "op4_pii": op4_pii, "op6_simhash": op6_simhash, "op8_quality": op8_quality, "op9_pieces": op9_pieces, "op10_toxicity": op10_toxicity}
+    return {"op2_secrets": op2_secrets, "op4_pii": op4_pii, "op6_simhash": op6_simhash, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_pieces": op9_pieces, "op10_toxicity": op10_toxicity}
 
 
 def oracle_sql():
