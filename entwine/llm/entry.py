@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pieces, pii, quality, secrets, toxicity
+from . import decontaminate, extract, pieces, pii, quality, secrets, toxicity
 from .common import table
 from .simhash import near_duplicates
 
@@ -19,6 +19,11 @@ def _n(spans, kind: str):
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def op1_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extract(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     spans = F.col("spans")
@@ -75,7 +80,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {"op2_secrets": op2_secrets, "op4_pii": op4_pii, "op6_simhash": op6_simhash, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_pieces": op9_pieces, "op10_toxicity": op10_toxicity}
+    return {"op1_extract": op1_extract, "op2_secrets": op2_secrets, "op4_pii": op4_pii, "op6_simhash": op6_simhash, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_pieces": op9_pieces, "op10_toxicity": op10_toxicity}
 
 
 def oracle_sql():
