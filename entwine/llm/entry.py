@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, extract, pieces, pii, quality, secrets, toxicity
+from . import chroma, decontaminate, extract, pieces, pii, quality, secrets, toxicity
 from .common import table
 from .simhash import near_duplicates
 
@@ -48,6 +48,12 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = chroma.fingerprints(chroma.rendered(table(spark, sf_dir, "embeddings")), "vec_id", "audio")
+    found = chroma.search(prints, F.col("id") % 100 == 0)
+    return found.select(F.col("query").alias("query_id"), F.col("id").alias("vec_id"), "offset", "hits", "bit_error")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -80,7 +86,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {"op1_extract": op1_extract, "op2_secrets": op2_secrets, "op4_pii": op4_pii, "op6_simhash": op6_simhash, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_pieces": op9_pieces, "op10_toxicity": op10_toxicity}
+    return {"op1_extract": op1_extract, "op2_secrets": op2_secrets, "op4_pii": op4_pii, "op5_chroma": op5_chroma, "op6_simhash": op6_simhash, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_pieces": op9_pieces, "op10_toxicity": op10_toxicity}
 
 
 def oracle_sql():
