@@ -39,6 +39,9 @@ SPELLING = 48
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.7
 _FEATURES = 6
+_GROUPS = ("o0", "o1", "t0", "t1")
+#: Words a task holds before it spells them out as n-grams, and words spelt out at once: they bound its memory.
+_HELD_WORDS, _BLOCK_WORDS = 300_000, 20_000
 #: A worker's cache of word ratios, by model; it outlives a task, not a model.
 _caches: dict[str, WordCache] = {}
 
@@ -82,64 +85,100 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
 
 
-def _count(text: pa.Array, group: np.ndarray) -> Iterator[dict[str, np.ndarray]]:
-    """Distinct n-grams of the texts with their counts in four groups (toxic or not, two folds)."""
-    for at, end, raw, offs in string_chunks(pc.utf8_lower(text)):
-        buf = raw
-        starts, ends, row = _expressions(buf, offs)
-        if not len(starts):
+class _Words:
+    """Distinct words of a task with their counts in four groups (toxic or not, two folds)."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.n = 0
+
+    def add(self, text: pa.Array, group: np.ndarray) -> None:
+        for at, end, buf, offs in string_chunks(pc.utf8_lower(text)):
+            starts, ends, row = _expressions(buf, offs)
+            if len(starts):
+                hashes, first, back = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+                counts = np.bincount(back * 4 + group[at:end][row], minlength=len(first) * 4).reshape(-1, 4)
+                size = (ends - starts)[first]
+                flat = buf[np.arange(size.sum()) + np.repeat(starts[first] - np.cumsum(size) + size, size)]
+                self.parts.append((hashes, counts, size, flat))
+                self.n += len(first)
+
+    def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes, starts, ends and counts of the words so far, each once."""
+        hashes, counts, size, flat = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        self.parts, self.n = [], 0
+        _, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        total = np.stack([np.bincount(back, weights=counts[:, k], minlength=len(first)) for k in range(4)], axis=1)
+        starts = np.cumsum(size) - size
+        return flat, starts[first], (starts + size)[first], total
+
+
+def _grams_of(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of each order: a hash; in one long the slots of its context, of its suffix and of
+    the suffix's context, whether it is of the highest order, and whether it has a suffix; its counts."""
+    spelt, which, place = _spelt(buf, starts, ends)
+    grams, ok = _Grams(spelt), np.flatnonzero(place > 0)
+    for n in range(1, ORDER + 1):
+        p = ok[place[ok] >= n - 1]
+        if not len(p):
             continue
-        _, first, back = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
-        counts = np.bincount(back * 4 + group[at:end][row], minlength=len(first) * 4).reshape(-1, 4)
-        spelt, which, place = _spelt(buf, starts[first], ends[first])
-        grams, ok = _Grams(spelt), np.flatnonzero(place > 0)
-        parts = []
-        for n in range(1, ORDER + 1):
-            p = ok[place[ok] >= n - 1]
-            g = grams.hashes(p - n + 1, p + 1)
-            top = (place[p] == n - 1) | (n == ORDER)
-            ctx = _slot(grams.hashes(p - n + 1, p))
-            suf = _slot(grams.hashes(p - n + 2, p + 1)) if n > 1 else np.full(len(p), -1, np.int32)
-            suf_ctx = _slot(grams.hashes(np.minimum(p - n + 2, p), p)) if n > 1 else np.full(len(p), -1, np.int32)
-            parts.append((g, ctx, suf, suf_ctx, top, which[p]))
-        g, ctx, suf, suf_ctx, top, word = (np.concatenate(x) for x in zip(*parts, strict=True))
-        _, one, back = np.unique(g, return_index=True, return_inverse=True)
-        out = {"g": g[one].view(np.int64), "ctx": ctx[one], "suf": suf[one], "suf_ctx": suf_ctx[one], "top": top[one]}
-        for k, name in enumerate(("o0", "o1", "t0", "t1")):
-            out[name] = np.bincount(back, weights=np.where(top, counts[word, k], 0), minlength=len(one)).astype(np.int64)
-        yield out
-
-
-_COUNTS = "g long, ctx int, suf int, suf_ctx int, top boolean, o0 long, o1 long, t0 long, t1 long"
+        g, one, back = np.unique(grams.hashes(p - n + 1, p + 1), return_index=True, return_inverse=True)
+        q, word = p[one], which[p]
+        top = (place[q] == n - 1) | (n == ORDER)
+        meta = _slot(grams.hashes(q - n + 1, q)).astype(np.int64)
+        if n > 1:
+            meta |= _slot(grams.hashes(q - n + 2, q + 1)).astype(np.int64) << 20 | _slot(grams.hashes(q - n + 2, q)).astype(np.int64) << 40
+        meta |= top.astype(np.int64) << 60 | np.int64(n > 1) << np.int64(61)
+        sums = [np.where(top, np.bincount(back, weights=counts[word, k], minlength=len(g)), 0).astype(np.int64) for k in range(4)]
+        yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(meta), *map(pa.array, sums)], ["g", "meta", *_GROUPS])
 
 
 def ngram_sums(train: DataFrame) -> DataFrame:
     """Sums by slot of what the models need. train: (text, toxic int, fold int)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words()
+
+        def spill() -> Iterator[pa.RecordBatch]:
+            if words.n:
+                buf, starts, ends, counts = words.take()
+                for k in range(0, len(starts), _BLOCK_WORDS):
+                    at = slice(k, k + _BLOCK_WORDS)
+                    yield from _grams_of(buf[starts[at].min() : ends[at].max()], starts[at] - starts[at].min(), ends[at] - starts[at].min(), counts[at])
+
         for batch in batches:
             group = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64) * 2 + batch.column(2).to_numpy(zero_copy_only=False)
-            for found in _count(batch.column(0), group):
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in found.values()], list(found))
-
-    four = [F.sum(k).alias(k) for k in ("o0", "o1", "t0", "t1")]
-    grams = train.mapInArrow(run, _COUNTS).groupBy("g", "ctx", "suf", "suf_ctx", "top").agg(*four)
-    slot = F.shiftrightunsigned("g", 64 - SLOT_BITS).cast("int")
+            for k in range(0, len(batch), 1000):
+                words.add(batch.column(0).slice(k, 1000), group[k : k + 1000])
+                if words.n > _HELD_WORDS:
+                    yield from spill()
+        yield from spill()
+
+    grams = train.mapInArrow(run, "g long, meta long, " + ", ".join(f"{k} long" for k in _GROUPS))
+    grams = grams.groupBy("g", "meta").agg(*[F.sum(k).alias(k) for k in _GROUPS])
+    low = F.lit((1 << SLOT_BITS) - 1).cast("long")
+    grams = grams.select(
+        F.shiftrightunsigned("g", 64 - SLOT_BITS).cast("int").alias("slot"),
+        *[F.shiftrightunsigned("meta", k * 20).bitwiseAND(low).cast("int").alias(name) for k, name in enumerate(("ctx", "suf", "suf_ctx"))],
+        (F.shiftrightunsigned("meta", 60).bitwiseAND(F.lit(1)) == 1).alias("top"),
+        (F.shiftrightunsigned("meta", 61).bitwiseAND(F.lit(1)) == 1).alias("has"),
+        *_GROUPS,
+    )
     zero = F.lit(0).cast("long")
 
-    def entry(kind: int, at: Column, values: list[Column], when: Column) -> Column:
-        return F.when(when, F.struct(F.lit(kind).alias("kind"), at.alias("slot"), *[v.cast("long").alias(n) for v, n in zip(values, ("a", "b", "c", "d"), strict=True)], *[(F.col(k) > 0).cast("long").alias(f"n{k}") for k in ("o0", "o1", "t0", "t1")]))
+    def entry(kind: int, at: str, values: list[Column], when: Column) -> Column:
+        return F.when(when, F.struct(F.lit(kind).alias("kind"), F.col(at).alias("slot"), *[v.cast("long").alias(n) for v, n in zip(values, ("a", "b", "c", "d"), strict=True)], *[(F.col(k) > 0).cast("long").alias(f"n{k}") for k in _GROUPS]))
 
-    counts = [F.col(k) for k in ("o0", "o1", "t0", "t1")]
+    counts = [F.col(k) for k in _GROUPS]
     one = [F.lit(1), zero, zero, zero]
     entries = F.array_compact(F.array(
-        entry(0, slot, counts, F.col("top")),
-        entry(1, F.col("ctx"), counts, F.col("top")),
-        entry(2, F.col("suf"), one, F.col("suf") >= 0),
-        entry(3, F.col("suf_ctx"), one, F.col("suf") >= 0),
-        entry(4, F.col("ctx"), one, ~F.col("top")),
+        entry(0, "slot", counts, F.col("top")),
+        entry(1, "ctx", counts, F.col("top")),
+        entry(2, "suf", one, F.col("has")),
+        entry(3, "suf_ctx", one, F.col("has")),
+        entry(4, "ctx", one, ~F.col("top")),
     ))
-    sums = [F.sum(f"e.{k}").alias(k) for k in ("a", "b", "c", "d", "no0", "no1", "nt0", "nt1")]
+    sums = [F.sum(f"e.{k}").alias(k) for k in ("a", "b", "c", "d", *(f"n{k}" for k in _GROUPS))]
     return grams.select(F.explode(entries).alias("e")).groupBy("e.kind", "e.slot").agg(*sums)
 
 
@@ -275,27 +314,37 @@ def fit(train: DataFrame) -> tuple[Model, np.ndarray] | None:
     return Model(sums), fit_logistic(x, found.column("y").to_numpy().astype(float))
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_filter: Column | None = None) -> DataFrame:
-    """(id, score, toxic): probability that each whole text is toxic, and whether it reaches THRESHOLD.
-
-    labels: (id_col, toxic). train_filter: condition on id_col for the rows that may train."""
+def scorer(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_filter: Column | None = None):
+    """A function from a text column to its score. labels: (id_col, toxic). train_filter: condition on id_col
+    for the rows that may train."""
     spark = docs.sparkSession
-    known = labels.filter(F.col("toxic").isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    may = rows.withColumnRenamed("id", id_col).filter(train_filter).withColumnRenamed(id_col, "id") if train_filter is not None else rows
-    model = fit(may.join(known, "id").select("id", "text", "toxic"))
+    known = labels.filter(F.col("toxic").isin(0, 1)).filter(F.lit(True) if train_filter is None else train_filter)
+    known = known.groupBy(F.col(id_col).alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    rows = docs.filter(F.lit(True) if train_filter is None else train_filter).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    model = fit(rows.join(known, "id").select("id", "text", "toxic"))
     if model is None:
-        return rows.select("id", F.lit(0.0).alias("score"), F.lit(False).alias("toxic"))
+        return lambda text: F.lit(0.0)
     sent = spark.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def run(text: pa.Array) -> pa.Array:
         tables, w = sent.value
-        cache = _caches.setdefault(tables.name, WordCache(22))
-        for other in [k for k in _caches if k != tables.name]:
-            del _caches[other]
-        for batch in batches:
-            z = features(batch.column(1), tables, cache) @ w[1:] + w[0]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], ["id", "score"])
+        if tables.name not in _caches:
+            _caches.clear()
+            _caches[tables.name] = WordCache(21)
+        z = features(text, tables, _caches[tables.name]) @ w[1:] + w[0]
+        return pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))
+
+    return lambda text: run(text.cast("string"))
+
+
+def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_filter: Column | None = None) -> DataFrame:
+    """(id, score, toxic): probability that each whole text is toxic, and whether it reaches THRESHOLD."""
+    value = scorer(docs, labels, id_col, text_col, train_filter)
+    return docs.select(F.col(id_col).alias("id"), value(F.col(text_col)).alias("score")).withColumn("toxic", F.col("score") >= THRESHOLD)
+
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, score double").withColumn("toxic", F.col("score") >= THRESHOLD)
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the rows that are rejected as toxic."""
+    value = scorer(docs, labels, id_col, text_col)
+    return docs.filter(value(F.col(text_col)) < THRESHOLD)
