@@ -81,3 +81,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     by_id = pairs.groupBy("id").agg(F.array_sort(F.collect_set("item")).alias("items"))
     none = F.array().cast(by_id.schema["items"].dataType)
     return docs.select(F.col(id_col).alias("id")).join(by_id, "id", "left").select("id", F.coalesce("items", none).alias("items"))
+
+
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """docs without the rows that hold an item. Rows without an id are judged together, as one id."""
+    gone = matches(docs, items, id_col, text_col, item_col, item_text_col).select(F.col("id").alias("_gone")).distinct()
+    return docs.join(materialize(gone), F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")

@@ -85,8 +85,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), (F.crc32(F.col("id").cast("string")) % 3 == 1).alias("held_out"), "score", F.col("toxic").cast("int").alias("predicted"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries():
-    return {"op1_extract": op1_extract, "op2_secrets": op2_secrets, "op4_pii": op4_pii, "op5_chroma": op5_chroma, "op6_simhash": op6_simhash, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_pieces": op9_pieces, "op10_toxicity": op10_toxicity}
+    return {"op1_extract": op1_extract, "op2_secrets": op2_secrets, "op4_pii": op4_pii, "op5_chroma": op5_chroma, "op6_simhash": op6_simhash, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_pieces": op9_pieces, "op10_toxicity": op10_toxicity, "pipeline": pipeline}
 
 
 def oracle_sql():

@@ -18,6 +18,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -120,3 +121,42 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reposi
     plain = found.filter(F.size("spans") == 0).select("id", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
     some = found.filter(F.size("spans") > 0).select("row", "id").join(spans, "row", "left").select("id", "spans")
     return plain.unionByName(some).withColumn("spans", F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)))
+
+
+def redacted(text: str | None, further: list[tuple[int, int, str]]) -> str | None:
+    """The text with base spans and the given (start, end, kind) replaced by their kind; the first, longest span stands."""
+    if text is None:
+        return None
+    spans = [(a, b, k) for k, a, b, _ in find(text, list(BASE))] + list(further)
+    out, at = [], 0
+    for a, b, kind in sorted(spans, key=lambda s: (s[0], -s[1])):
+        if a >= at:
+            out += [text[at:a], f"<{kind}>"]
+            at = b
+        elif b > at:  # reaches beyond what was cut before it
+            at = b
+    return "".join(out) + text[at:]
+
+
+def scrubbed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", repository_col: str | None = None, owner_col: str = "source") -> DataFrame:
+    """docs with every reported secret replaced in the text, and its length set anew. A row without an id has
+    its base secrets replaced; those of further kinds are looked up by id."""
+    found = scan(docs, id_col, text_col, repository_col, owner_col)
+    further = F.filter("spans", lambda s: ~s["kind"].isin(*BASE))
+    one = found.select(F.col("id").alias(id_col), F.transform(further, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))).alias("_further"))
+    extra = one.filter(F.size("_further") > 0).groupBy(id_col).agg(F.flatten(F.collect_set("_further")).alias("_further"))
+
+    @F.arrow_udf("string")
+    def replace(text: pa.Array, spans: pa.Array) -> pa.Array:
+        hit = np.zeros(len(text), bool)
+        for kind in BASE:
+            hit |= pc.fill_null(pc.match_substring_regex(text, HINTS[kind]), False).to_numpy(zero_copy_only=False)
+        hit |= spans.is_valid().to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(hit)
+        new = [redacted(text[i].as_py(), [(s["start"], s["end"], s["kind"]) for s in spans[i].as_py() or []]) for i in at.tolist()]
+        return pc.replace_with_mask(text, pa.array(hit), pa.array(new, text.type)) if len(at) else text
+
+    joined = docs.join(materialize(extra), id_col, "left").withColumn(text_col, replace(F.col(text_col).cast("string"), F.col("_further")))
+    if length_col:
+        joined = joined.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
+    return joined.select(docs.columns)
