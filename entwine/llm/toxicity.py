@@ -17,7 +17,9 @@ Repeated rows are scored alike, each on its own row. Columns other than id, text
 
 from __future__ import annotations
 
+import pickle
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +44,11 @@ _FEATURES = 6
 _GROUPS = ("o0", "o1", "t0", "t1")
 #: Words a task holds before it spells them out as n-grams, and words spelt out at once: they bound its memory.
 _HELD_WORDS, _BLOCK_WORDS = 300_000, 20_000
-#: A worker's cache of word ratios, by model; it outlives a task, not a model.
-_caches: dict[str, WordCache] = {}
+#: Labels are broadcast up to so many rows (about 40 MB as a hash table); of more, the training texts are
+#: dealt out by id once.
+BROADCAST_LABELS = 1_000_000
+#: A worker's unpacked models, each with its cache of word ratios; they outlive a task, not the next model.
+_models: dict[str, tuple] = {}
 
 
 def _expressions(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -231,6 +236,20 @@ class Model:
         return np.bincount(which[p], weights=logs[1] - logs[0], minlength=len(starts))
 
 
+def _packed(*models: Model) -> tuple[str, bytes]:
+    """Models for a broadcast: the tables are mostly small counts, and a fifth of their size as bytes."""
+    return models[0].name, zlib.compress(pickle.dumps(models, protocol=5), 1)
+
+
+def _unpacked(sent: tuple[str, bytes]) -> tuple:
+    name, raw = sent
+    if name not in _models:
+        _models.clear()
+        models = pickle.loads(zlib.decompress(raw))
+        _models[name] = models, [WordCache() for _ in models]
+    return _models[name]
+
+
 def features(text: pa.Array, model: Model, cache: WordCache) -> np.ndarray:
     """Length-normalised ratios of each whole text. cache: ratios of this model's words met before."""
     out = np.zeros((len(text), _FEATURES))
@@ -297,19 +316,19 @@ def fit(train: DataFrame) -> tuple[Model, np.ndarray] | None:
     top = sums["kind"] == 0
     if not sum(sums[k][top].sum() for k in "ab") or not sum(sums[k][top].sum() for k in "cd"):
         return None
-    crossed = spark.sparkContext.broadcast([Model(sums, (1,)), Model(sums, (0,))])  # a fold is scored by the other's counts
+    crossed = spark.sparkContext.broadcast(_packed(Model(sums, (1,)), Model(sums, (0,))))  # a fold is scored by the other's counts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        caches = [WordCache(), WordCache()]
+        models, caches = _unpacked(crossed.value)
         for batch in batches:
             fold = batch.column(1).to_numpy(zero_copy_only=False)
-            x = np.where((fold == 0)[:, None], *(features(batch.column(0), m, c) for m, c in zip(crossed.value, caches, strict=True)))
+            x = np.where((fold == 0)[:, None], *(features(batch.column(0), m, c) for m, c in zip(models, caches, strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array(x[:, k]) for k in range(_FEATURES)] + [batch.column(2)], [f"f{k}" for k in range(_FEATURES)] + ["y"])
 
     ids = train.select("id").distinct().orderBy(F.xxhash64(F.lit(11), "id"), "id").limit(CALIBRATION_ROWS)
     sample = train.join(ids, "id", "left_semi").select("text", "fold", "toxic")
     found = sample.mapInArrow(run, ", ".join(f"f{k} double" for k in range(_FEATURES)) + ", y int").toArrow()
-    crossed.unpersist()
+    crossed.destroy()
     x = np.stack([found.column(k).to_numpy() for k in range(_FEATURES)], axis=1)
     return Model(sums), fit_logistic(x, found.column("y").to_numpy().astype(float))
 
@@ -321,18 +340,17 @@ def scorer(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = labels.filter(F.col("toxic").isin(0, 1)).filter(F.lit(True) if train_filter is None else train_filter)
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
     rows = docs.filter(F.lit(True) if train_filter is None else train_filter).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    known = F.broadcast(known) if known.count() <= BROADCAST_LABELS else known
     model = fit(rows.join(known, "id").select("id", "text", "toxic"))
     if model is None:
         return lambda text: F.lit(0.0)
-    sent = spark.sparkContext.broadcast(model)
+    w = model[1]
+    sent = spark.sparkContext.broadcast(_packed(model[0]))
 
     @F.arrow_udf("double")
     def run(text: pa.Array) -> pa.Array:
-        tables, w = sent.value
-        if tables.name not in _caches:
-            _caches.clear()
-            _caches[tables.name] = WordCache(21)
-        z = features(text, tables, _caches[tables.name]) @ w[1:] + w[0]
+        (tables,), (cache,) = _unpacked(sent.value)
+        z = features(text, tables, cache) @ w[1:] + w[0]
         return pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
     return lambda text: run(text.cast("string"))
