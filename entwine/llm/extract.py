@@ -268,6 +268,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     known = materialize(templates(with_any))
     held = with_any.select("row", "host", F.explode("containers").alias("c")).select("row", "host", F.col("c.hash").alias("hash"), "c")
     gone = held.join(known, ["host", "hash"]).groupBy("row").agg(F.collect_list("c").alias("gone"))
-    out = found.join(gone, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<struct<hash:bigint,first:int,last:int>>")))
+    none = F.array().cast("array<struct<hash:bigint,first:int,last:int>>")
+    plain = found.filter(F.size("containers") == 0).withColumn("gone", none)  # not dealt anew: nothing can go
+    out = plain.unionByName(with_any.join(gone, "row", "left").withColumn("gone", F.coalesce("gone", none)))
     kept = F.filter("blocks", lambda _, i: ~F.exists("gone", lambda g: (i >= g["first"]) & (i <= g["last"])))
     return out.select("id", "url", F.array_join(F.when(F.size("gone") > 0, kept).otherwise(F.col("blocks")), "\n").alias("text"), F.size("gone").alias("n_templates"))
