@@ -55,12 +55,24 @@ def item_windows(items: DataFrame, item_col: str = "item_id", text_col: str = "t
     return windows(rows).select("item", F.size("words").alias("n_words"), near.alias("near"), "hash")
 
 
+def _hits(seen: DataFrame, table: DataFrame) -> DataFrame:
+    """(id, item, n_words, near, here, shift): the rows of seen that hit the table, with the words around the
+    hit alone: here[k + shift] faces near[k]."""
+    reach = OVERLAP - SPAN
+    before = F.least(F.col("at"), F.lit(reach))
+    here = F.slice("words", F.col("at") - before + 1, before + OVERLAP)
+    # The random number keeps the test of the hits out of the loop that probes: with it, the loop would carry
+    # whole texts from row to row.
+    return seen.join(F.broadcast(table), "hash").select("id", "item", "n_words", "near", here.alias("here"), (before - reach).alias("shift"), F.rand(1).alias("apart"))
+
+
 def _agrees() -> Column:
     """Whether some window of OVERLAP words that contains the hit agrees in enough places."""
     reach = OVERLAP - SPAN
-    same = [F.coalesce(F.get("words", F.col("at") + k) == F.get("near", F.lit(k + reach)), F.lit(False)).cast("int") if k >= 0 else F.when(F.col("at") >= -k, F.coalesce(F.get("words", F.col("at") + k) == F.get("near", F.lit(k + reach)), F.lit(False)).cast("int")).otherwise(0) for k in range(-reach, OVERLAP)]
-    sums = [reduce(lambda a, b: a + b, same[s : s + OVERLAP]) for s in range(reach + 1)]
-    return F.greatest(*sums) >= F.ceil(F.least(F.lit(OVERLAP), F.col("n_words")) * F.lit(SHARE))
+    at = lambda k: F.when(k + F.col("shift") >= 0, k + F.col("shift")).otherwise(F.lit(1 << 30))
+    same = F.transform(F.sequence(F.lit(0), F.lit(reach + OVERLAP - 1)), lambda k: F.coalesce(F.get("here", at(k)) == F.get("near", k), F.lit(False)).cast("int"))
+    sums = F.transform(F.sequence(F.lit(0), F.lit(reach)), lambda s: F.aggregate(F.slice(same, s + 1, F.lit(OVERLAP)), F.lit(0), lambda x, y: x + y))
+    return F.array_max(sums) >= F.ceil(F.least(F.lit(OVERLAP), F.col("n_words")) * F.lit(SHARE))
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -71,7 +83,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     part = F.pmod(F.xxhash64(F.lit(5), "hash"), F.lit(blocks))
     rows = docs.select(F.col(id_col).alias("id"), words(F.col(text_col).cast("string")).alias("words"))
     seen = windows(rows)
-    found = [seen.join(F.broadcast(table.filter(part == b) if blocks > 1 else table), "hash").filter(_agrees()).select("id", "item") for b in range(blocks)]
+    found = [_hits(seen, table.filter(part == b) if blocks > 1 else table).filter(_agrees() & (F.col("apart") >= 0)).select("id", "item") for b in range(blocks)]
     return reduce(DataFrame.union, found).distinct()
 
 
