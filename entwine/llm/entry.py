@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chroma, decontaminate, extract, pieces, pii, quality, secrets, toxicity
+from . import chroma, decontaminate, extract, pieces, pii, quality, repeats, secrets, toxicity
 from .common import table
 from .simhash import near_duplicates
 
@@ -36,6 +36,12 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.removed(table(spark, sf_dir, "documents"))
+    n = F.aggregate("spans", F.lit(0).cast("long"), lambda x, s: x + s["b"] - s["a"])
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", n.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.select(table(spark, sf_dir, "documents"))
     spans = F.col("spans")
@@ -92,7 +98,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {"op1_extract": op1_extract, "op2_secrets": op2_secrets, "op4_pii": op4_pii, "op5_chroma": op5_chroma, "op6_simhash": op6_simhash, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_pieces": op9_pieces, "op10_toxicity": op10_toxicity, "pipeline": pipeline}
+    return {"op1_extract": op1_extract, "op2_secrets": op2_secrets, "op3_repeats": op3_repeats, "op4_pii": op4_pii, "op5_chroma": op5_chroma, "op6_simhash": op6_simhash, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_pieces": op9_pieces, "op10_toxicity": op10_toxicity, "pipeline": pipeline}
 
 
 def oracle_sql():
