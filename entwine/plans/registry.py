@@ -155,7 +155,8 @@ def _r(f: Callable) -> Callable:
 
 def pair_features(spark: SparkSession, d: str) -> DataFrame:
     s1, t = _sides(spark, d)
-    return features.pair_features(_candidates(spark, d), s1.drop("source"), features.last_of_each(t))
+    found = features.pair_features(_candidates(spark, d), s1.drop("source"), features.last_of_each(t))
+    return _long(found, "name_len_diff_abs", "name_token_count_diff", "addr_len_diff_abs", "addr_token_count_diff", "num_rules_triggered")
 
 
 def pair_labels(spark: SparkSession, d: str) -> DataFrame:
@@ -368,7 +369,7 @@ def _lcs(a: str, b: str) -> str:
     """Rows of the table of common subsequences, one for each character of a: what the row before has, or one
     more on an equal character; running maxima make it a row."""
     row = f"list_transform(range(1, length({b}) + 1), lambda j: greatest(r[j], coalesce(r[j - 1], 0) + CASE WHEN {b}[j] = {a}[i] THEN 1 ELSE 0 END))"
-    running = f"list_transform(range(1, length({b}) + 1), lambda k: list_max(({row})[1:k]))"
+    running = f"list_transform([{row}], lambda t: list_transform(range(1, length({b}) + 1), lambda k: list_max(t[1:k])))[1]"
     return f"coalesce(list_reduce(range(1, length({a}) + 1), lambda r, i: {running}, list_transform(range(1, length({b}) + 1), lambda z: CAST(0 AS BIGINT)))[-1], 0)"
 
 
@@ -379,6 +380,49 @@ def _edit(a: str, b: str) -> str:
 _SORTED = ", sp AS (SELECT s1_entity_id, target_entity_id, array_to_string(list_sort(" + _list("a") + "), ' ') AS a, array_to_string(list_sort(" + _list("b") + "), ' ') AS b FROM pairs)"
 
 
+def _token_set(name: str, source: str, a: str, b: str) -> str:
+    """CTEs that add the token-set ratio of columns a and b of `source` as column `name` of `{name}_of`."""
+    tail = lambda x: f"CASE WHEN {x} <> '' THEN ' ' || {x} ELSE '' END"
+    return f"""
+{name}_1 AS (SELECT *, list_distinct({_list(a)}) AS s_, list_distinct({_list(b)}) AS t_ FROM {source}),
+{name}_2 AS (SELECT *, array_to_string(list_sort(list_intersect(s_, t_)), ' ') AS both_, array_to_string(list_sort(list_filter(s_, lambda x: NOT list_contains(t_, x))), ' ') AS one_, array_to_string(list_sort(list_filter(t_, lambda x: NOT list_contains(s_, x))), ' ') AS two_,
+  array_to_string(list_sort({_list(a)}), ' ') AS sa_, array_to_string(list_sort({_list(b)}), ' ') AS sb_ FROM {name}_1),
+{name}_3 AS (SELECT *, {tail("one_")} AS u_, {tail("two_")} AS v_ FROM {name}_2),
+{name}_of AS (SELECT * EXCLUDE (s_, t_, both_, one_, two_, sa_, sb_, u_, v_), CASE WHEN len(s_) = 0 AND len(t_) = 0 THEN 1.0 WHEN len(s_) = 0 OR len(t_) = 0 THEN 0.0
+  WHEN both_ <> '' THEN CAST(least(greatest(2.0 * length(both_) / (2 * length(both_) + length(u_)), 2.0 * length(both_) / (2 * length(both_) + length(v_)), 2.0 * (length(both_) + {_lcs("u_", "v_")}) / (2 * length(both_) + length(u_) + length(v_))), 1.0) AS DOUBLE)
+  ELSE CASE WHEN length(sa_) + length(sb_) = 0 THEN 1.0 WHEN length(sa_) = 0 OR length(sb_) = 0 THEN 0.0 ELSE CAST(2.0 * {_lcs("sa_", "sb_")} / (length(sa_) + length(sb_)) AS DOUBLE) END END AS {name} FROM {name}_3)"""
+
+
+def _features_sql() -> tuple[str, str]:
+    """The CTEs and the columns of the pair features."""
+    sides = ", ".join(f"{p}.{c} AS {p}_{c}" for p in "ab" for c in CLEAN[1:])
+    core = ", ".join(f"CASE WHEN {p}_clean_name_no_suffix <> '' THEN {p}_clean_name_no_suffix ELSE {p}_normalized_name END AS {p}_core" for p in "ab")
+    more = f"""looked AS (SELECT c.s1_entity_id, c.target_entity_id, c.rules, {sides} FROM cand c JOIN clean a ON a.entity_id = c.s1_entity_id JOIN clean b ON b.entity_id = c.target_entity_id),
+cored AS (SELECT *, {core} FROM looked),
+alled AS (SELECT *, trim(a_core || ' ' || a_normalized_address) AS a_all, trim(b_core || ' ' || b_normalized_address) AS b_all,
+  array_to_string(list_sort({_list("a_normalized_name")}), ' ') AS a_sn, array_to_string(list_sort({_list("b_normalized_name")}), ' ') AS b_sn, array_to_string(list_sort({_list("a_normalized_address")}), ' ') AS a_sa, array_to_string(list_sort({_list("b_normalized_address")}), ' ') AS b_sa FROM cored),
+{_token_set("n_set", "alled", "a_core", "b_core")}, {_token_set("a_set", "n_set_of", "a_normalized_address", "b_normalized_address")}, {_token_set("all_set", "a_set_of", "a_all", "b_all")}"""
+    both = lambda c, f="{}": f"CASE WHEN {f.format('a_' + c)} = {f.format('b_' + c)} AND {f.format('a_' + c)} <> '' THEN 1.0 ELSE 0.0 END"
+    distinct = lambda c: (f"list_distinct({_list('a_' + c)})", f"list_distinct({_list('b_' + c)})")
+    lengths = lambda c: (f"abs(length(a_{c}) - length(b_{c}))", f"CASE WHEN greatest(length(a_{c}), length(b_{c})) = 0 THEN 1.0 ELSE round(CAST(least(length(a_{c}), length(b_{c})) AS DOUBLE) / greatest(length(a_{c}), length(b_{c})), 4) END", f"abs(len({_list('a_' + c)}) - len({_list('b_' + c)}))")
+    grams = lambda c: f"CASE WHEN a_{c} = b_{c} THEN 1.0 ELSE {_jaccard(_grams('a_' + c), _grams('b_' + c))} END"
+    runs = tuple(rf"list_distinct(regexp_extract_all({p}_normalized_address, '\b\d+\b'))" for p in "ab")
+    name, addr = lengths("clean_name_no_suffix"), lengths("normalized_address")
+    columns = {
+        "name_exact_match": both("original_name"), "name_norm_exact_match": both("normalized_name"), "name_clean_exact_match": both("clean_name_no_suffix"),
+        "name_levenshtein_ratio": _edit("a_normalized_name", "b_normalized_name"), "name_token_sort_ratio": _edit("a_sn", "b_sn"), "name_token_set_ratio": "round(n_set, 4)",
+        "name_jaccard_similarity": _jaccard(*distinct("core")), "name_char_3gram_jaccard": grams("core"), "name_len_diff_abs": name[0], "name_len_ratio": name[1], "name_token_count_diff": name[2],
+        "addr_exact_match": both("original_address"), "addr_norm_exact_match": both("normalized_address"), "addr_levenshtein_ratio": _edit("a_normalized_address", "b_normalized_address"),
+        "addr_token_sort_ratio": _edit("a_sa", "b_sa"), "addr_token_set_ratio": "round(a_set, 4)", "addr_jaccard_similarity": _jaccard(*distinct("normalized_address")), "addr_char_3gram_jaccard": grams("normalized_address"),
+        "addr_numeric_overlap": _jaccard(*runs, "0.5"), "addr_postal_pin_match": "CASE WHEN a_postal_code = '' OR b_postal_code = '' THEN 0.5 WHEN a_postal_code = b_postal_code THEN 1.0 ELSE 0.0 END",
+        "addr_len_diff_abs": addr[0], "addr_len_ratio": addr[1], "addr_token_count_diff": addr[2], "country_exact_match": both("original_country", "upper(trim({}))"), "country_norm_match": both("normalized_country"),
+        "combined_text_similarity": "round(all_set, 4)", "name_x_addr_similarity": "round(n_set * a_set, 4)", "strong_agreement_indicator": f"CASE WHEN n_set >= 0.85 AND a_set >= 0.80 AND {both('normalized_country')} = 1 THEN 1.0 ELSE 0.0 END",
+        "is_source2": "CASE WHEN target_entity_id LIKE 'S2%' THEN 1.0 ELSE 0.0 END", "num_rules_triggered": "len(rules)", **{f"{r}_flag": f"CASE WHEN list_contains(rules, '{r}') THEN 1.0 ELSE 0.0 END" for r in blocking.RULES},
+    }
+    whole = ("_len_diff_abs", "_token_count_diff", "num_rules_triggered")
+    return more, ", ".join(f"CAST({v} AS {'BIGINT' if k.endswith(whole) else 'DOUBLE'}) AS {k}" for k, v in columns.items())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = [
         normalize_entities, text_stats, table_audit, country_distribution, gt_cardinality, suffix_frequency, casing_punct, address_patterns, address_abbreviations, frequent_tokens,
@@ -442,6 +486,10 @@ def oracle_sql() -> dict[str, str]:
         "hard_negatives": _sql(", l AS (SELECT c.s1_entity_id, c.target_entity_id, CAST(t.s1_entity_id IS NOT NULL AS BIGINT) AS is_match, CAST(v.s1_entity_id IS NOT NULL AS BIGINT) AS is_validation, c.num_rules / 7.0 AS score FROM cand c LEFT JOIN truth t USING (s1_entity_id, target_entity_id) LEFT JOIN val v ON v.s1_entity_id = c.s1_entity_id) SELECT s1_entity_id, target_entity_id, is_match, is_validation, CAST(0 AS BIGINT) AS is_hard_negative, CAST(NULL AS DOUBLE) AS model_score FROM l UNION ALL SELECT s1_entity_id, target_entity_id, is_match, is_validation, 1, round(score, 4) FROM l WHERE is_match = 0 AND score >= 0.5"),
         "submission_issues": _sql(" SELECT issue, count(*) AS n FROM (SELECT 'match_not_in_candidates' AS issue FROM truth t ANTI JOIN cand c USING (s1_entity_id, target_entity_id) WHERE t.s1_entity_id NOT LIKE '%7' UNION ALL SELECT 'missing_s1_in_matches' FROM ents WHERE s1_entity_id LIKE '%7') GROUP BY ALL"),
     }
+    more, columns = _features_sql()
+    found["pair_features"] = _sql(f" SELECT s1_entity_id, target_entity_id, {columns} FROM all_set_of", more)
+    found["baseline_matches"] = _sql(f", f AS (SELECT s1_entity_id, target_entity_id, {columns} FROM all_set_of), b AS (SELECT s1_entity_id, target_entity_id, 0.55 * name_token_set_ratio + 0.35 * addr_token_set_ratio + 0.1 * country_exact_match AS score FROM f) SELECT s1_entity_id, target_entity_id, round(score, 6) AS score FROM b WHERE score >= 0.65", more)
+    found["sim_token_set"] = _sql(" SELECT s1_entity_id, target_entity_id, round(r_set, 4) AS similarity FROM r_set_of", _PAIRS + ", " + _token_set("r_set", "pairs", "a", "b"))
     for i, r in enumerate(blocking.RULES):
         found[f"block_{r.removeprefix('rule_')}"] = _sql(f" SELECT DISTINCT p.entity_id AS s1_entity_id, t.entity_id AS target_entity_id FROM probes p JOIN posts t USING (rule, key) WHERE rule = {i + 1}")
     return found
