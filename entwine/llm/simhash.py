@@ -13,6 +13,7 @@ other than the id and the text are ignored and may have any name. A row without
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -116,40 +117,44 @@ def near(a: np.ndarray, pa_: np.ndarray, b: np.ndarray, pb: np.ndarray, radius:
 
 def _forest(fps: np.ndarray, reps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that join one key's fingerprints as all its pairs within the radius would: each row, once reached,
-    is compared with all that no tree has reached yet."""
+    is compared with all that no tree has reached yet. Trees grow from the smallest representative, so the same
+    group gives much the same links under every key that it shares."""
+    order = np.argsort(reps, kind="stable")
+    fps, reps = fps[order], reps[order]
     table, rest = distances(fps), np.arange(len(fps))
     left, right = [], []
     while len(rest):
         open_, rest = [int(rest[0])], rest[1:]
         while open_ and len(rest):
-            i = open_.pop()
+            i = heapq.heappop(open_)
             hit = near(fps[i : i + 1], table[i : i + 1], fps[rest], table[rest], radius)
             new, rest = rest[hit], rest[~hit]
             left.append(np.full(len(new), reps[i]))
             right.append(reps[new])
-            open_ += new.tolist()
+            for j in new.tolist():
+                heapq.heappush(open_, j)
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def _linked(radius: int, words: int):
+def _linked(radius: int, words: int, pair_rows: int):
     """A function for mapInArrow over rows (key, rep, words ..) in the order of key: links within each key."""
 
     def found(key: np.ndarray, rep: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
         size = np.repeat(np.diff(cut), np.diff(cut))
-        some = (size > 1) & (size <= PAIR_ROWS)
+        some = (size > 1) & (size <= pair_rows)
         k, f, r = key[some], fps[some], rep[some]
         pivot = distances(f)
-        for step in range(1, PAIR_ROWS):
+        for step in range(1, pair_rows):
             at = np.flatnonzero(k[step:] == k[:-step])
             if not len(at):
                 break
             at = at[near(f[at], pivot[at], f[at + step], pivot[at + step], radius)]
             left.append(r[at])
             right.append(r[at + step])
-        for c in np.flatnonzero(np.diff(cut) > PAIR_ROWS):
+        for c in np.flatnonzero(np.diff(cut) > pair_rows):
             a, b = _forest(fps[cut[c] : cut[c + 1]], rep[cut[c] : cut[c + 1]], radius)
             left.append(a)
             right.append(b)
@@ -186,7 +191,7 @@ def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     rows = classes.filter("rep is not null").select(F.explode(F.array(*keys)).alias("key"), "rep", "fp")
     rows = rows.repartition(F.col("key")).sortWithinPartitions("key")
-    return rows.mapInArrow(_linked(radius, 1), "src long, dst long").distinct()
+    return rows.mapInArrow(_linked(radius, 1, PAIR_ROWS), "src long, dst long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = RADIUS) -> DataFrame:
@@ -223,7 +228,8 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     made = materialize(rows.mapInArrow(prints, f"id long, {words}"))
     classes = materialize(made.groupBy(*names).agg(F.min("id").alias("rep")))
     keys = classes.select("rep", *names).mapInArrow(keyed, f"key long, rep long, {words}")
-    found = keys.repartition(F.col("key")).sortWithinPartitions("key").mapInArrow(_linked(WIDE_RADIUS, WIDE_WORDS), "src long, dst long").distinct()
+    # Many keys hold the same group, so a forest is given for all but pairs.
+    found = keys.repartition(F.col("key")).sortWithinPartitions("key").mapInArrow(_linked(WIDE_RADIUS, WIDE_WORDS, 2), "src long, dst long").distinct()
     members = connected(found)
     root = classes.join(members.withColumnRenamed("node", "rep"), "rep", "left").select(*names, F.coalesce("root", "rep").alias("component"))
     return made.join(root, names, "left").select("id", "component")
