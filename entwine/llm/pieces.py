@@ -37,6 +37,8 @@ _GAP = 0xFF
 UNKNOWN_PENALTY = 10.0
 #: Ids of words kept by a worker; when they are full, the cache starts anew.
 _POOL, _SLOTS = 1 << 23, 21
+#: Ids that are spelt out at once.
+_IDS = 1 << 18
 #: Words times places searched at once.
 _CELLS = 1 << 18
 
@@ -89,6 +91,7 @@ class Pieces:
         self.text_size = np.array([len(s) for s in spelling])
         self.text_start = np.cumsum(self.text_size) - self.text_size
         self.bpe = _kind(path) == "bpe"
+        self.pair, self.stood = np.full(1 << _SLOTS, -1, np.int64), np.zeros(1 << _SLOTS, bool)
         if self.bpe:
             self._merges(plain)
         # a filter before the search: whether any piece has these low bits of a hash
@@ -130,6 +133,19 @@ class Pieces:
         kept = reachable[self.ids]  # merging never makes the others
         self.keys, self.ids, self.scores = self.keys[kept], self.ids[kept], self.scores[kept]
 
+    def _known(self, pairs: np.ndarray) -> np.ndarray:
+        """_stands of pairs (a * size + b), of which those met before are remembered."""
+        at = (mix(pairs.astype(np.uint64)) >> np.uint64(64 - _SLOTS)).astype(np.int64)
+        new = np.flatnonzero(self.pair[at] != pairs)
+        out = self.stood[at]
+        if len(new):
+            one, back = np.unique(pairs[new], return_inverse=True)
+            out[new] = self._stands(one // self.size, one % self.size)[back]
+            self.pair[at[new]] = pairs[new]
+            stays = new[self.pair[at[new]] == pairs[new]]
+            self.stood[at[stays]] = out[stays]
+        return out
+
     def _stands(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging by rank keeps the border between pieces a[i] and b[i]. What the two grow from is
         followed back, the later merge first: the border falls if the parts that meet at it would merge earlier."""
@@ -165,6 +181,7 @@ class Pieces:
         best[:, 0] = 0
         back = np.zeros((count, length + 1), np.int32)
         via = np.full((count, length + 1), -1, np.int32)
+        alone = self._alone(total, down, cut)
         for end in range(1, length + 1):
             low = max(0, end - self.longest)
             h = _key((total[:, end, None] - total[:, low:end]) * down[low:end], np.broadcast_to(end - np.arange(low, end), (count, end - low)))
@@ -176,23 +193,19 @@ class Pieces:
             value = np.full((count, end - low), -np.inf)
             if self.bpe:
                 before = via[row, low + k]
-                pair, back_to = np.unique(before.astype(np.int64) * self.size + self.ids[where], return_inverse=True)
-                real = pair >= 0  # nothing, or a character of bytes, stands before the others
-                stands = np.ones(len(pair), bool)
-                stands[real] = self._stands(pair[real] // self.size, pair[real] % self.size)
-                open_ = stands[back_to] & (best[row, low + k] > -np.inf)
+                open_ = best[row, low + k] > -np.inf
+                real = np.flatnonzero(open_ & (before >= 0))  # nothing, or a character of bytes, stands before the others
+                open_[real] = self._known(before[real].astype(np.int64) * self.size + self.ids[where[real]])
                 row, k, where = row[open_], k[open_], where[open_]
                 value[row, k] = 0.0
             else:
                 value[row, k] = best[row, low + k] + self.scores[where]
             chosen = np.full((count, end - low), -1, np.int32)
             chosen[row, k] = self.ids[where]
-            for width in (1, 2, 3, 4):  # the last character alone, if no piece spells it
-                a = end - width
-                if a < low:
-                    break
-                alone = cut[:, a] & cut[:, end] & ~self._spells(total, down, a, end) & ~cut[:, a + 1 : end].any(axis=1)
-                value[alone, a - low] = best[alone, a] + (0.0 if self.bpe else self.unknown)
+            if alone is not None:
+                rows = np.flatnonzero(alone[:, end] >= 0)
+                frm = alone[rows, end]
+                value[rows, frm - low] = best[rows, frm] + (0.0 if self.bpe else self.unknown)
             pick = value.argmax(axis=1)
             every = np.arange(count)
             best[:, end] = value[every, pick]
@@ -216,14 +229,25 @@ class Pieces:
         kept = out >= 0
         return out[kept], kept.sum(axis=1)
 
-    def _spells(self, total: np.ndarray, down: np.ndarray, a: int, b: int) -> np.ndarray:
-        """Whether a piece spells bytes a to b of each word."""
-        h = _key((total[:, b] - total[:, a]) * down[a], np.full(len(total), b - a))
-        return self.keys[np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)] == h
+    def _alone(self, total: np.ndarray, down: np.ndarray, cut: np.ndarray) -> np.ndarray | None:
+        """For each word and place, the start of the character that ends there if no piece spells it, else -1;
+        None if pieces spell all characters."""
+        row, at = np.nonzero(cut)
+        same = np.flatnonzero(row[1:] == row[:-1])
+        row, a, b = row[same], at[same], at[same + 1]
+        h = _key((total[row, b] - total[row, a]) * down[a], b - a)
+        lacks = np.flatnonzero(self.keys[np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)] != h)
+        if not len(lacks):
+            return None
+        out = np.full(cut.shape, -1, np.int64)
+        out[row[lacks], b[lacks]] = a[lacks]
+        return out
 
     def _learn(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where in the pool the ids of these words are, and how many."""
         size = ends - starts
+        if not len(size):
+            return size, size
         at, n = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
         order = np.argsort(size, kind="stable")
         cut = np.flatnonzero(np.r_[True, np.diff(size[order]) > 0, True])
@@ -265,21 +289,31 @@ class Pieces:
         offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else np.zeros(0, np.int32)))
 
-    def decode(self, column: pa.Array) -> pa.Array:
-        if column.null_count:
-            column = pc.if_else(pc.is_null(column), pa.array([[]], pa.list_(pa.int32()))[0], column)
-        ids = column.flatten().to_numpy()
-        size = pc.list_value_length(column).to_numpy().astype(np.int64)
+    def _spell(self, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of rows of ids, without the mark that every text got, and their offsets."""
         n = self.text_size[ids]
         begin = np.cumsum(n) - n
         data = self.text[np.arange(n.sum()) + np.repeat(self.text_start[ids] - begin, n)]
         edge = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(size)])]
         drop = edge[:-1][edge[1:] > edge[:-1]]
-        drop = drop[data[drop] == 32]  # the mark that every text got
+        drop = drop[data[drop] == 32]
         keep = np.ones(len(data), bool)
         keep[drop] = False
-        edge = np.concatenate([[0], np.cumsum(keep)])[edge]
-        raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(edge.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[keep]))])
+        return data[keep], np.concatenate([[0], np.cumsum(keep)])[edge]
+
+    def decode(self, column: pa.Array) -> pa.Array:
+        if column.null_count:
+            column = pc.if_else(pc.is_null(column), pa.array([[]], pa.list_(pa.int32()))[0], column)
+        size = pc.list_value_length(column).to_numpy().astype(np.int64)
+        ids, offs = column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(size)])
+        data, edges, at = [], [np.zeros(1, np.int64)], 0
+        while at < len(size):
+            end = max(at + 1, int(np.searchsorted(offs, offs[at] + _IDS, "right")) - 1)
+            part, edge = self._spell(ids[offs[at] : offs[end]], size[at:end])
+            data.append(part)
+            edges.append(edges[-1][-1] + edge[1:])
+            at = end
+        raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(np.concatenate(edges)), pa.py_buffer(np.concatenate([np.zeros(0, np.uint8), *data]))])
         try:
             return raw.cast(pa.string())
         except pa.ArrowInvalid:
