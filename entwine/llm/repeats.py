@@ -4,10 +4,11 @@ A byte goes if a substring of LENGTH bytes that covers it also starts anywhere e
 substring (window) has an anchor: the leftmost of its GRAM-byte grams with the smallest hash. Equal windows
 have equal anchors, so the corpus falls apart into buckets by anchor that never share a window:
 
-1. Anchors are counted over distinct texts. Those that occur once leave a bitmap of fixed size; a bit shared
-   by chance only lets more through, never less.
-2. Runs of windows with one marked anchor become pieces (the bytes that the run spans). Equal pieces are
-   counted as one before they are dealt out, so a passage of a third of all texts costs one piece.
+1. Anchors with the HALF bytes before them, and with those behind them, are counted over distinct texts; every
+   window holds one of the two. Those that recur are marked in a bitmap of fixed size; a bit shared by chance
+   only lets more through, never less.
+2. Runs of windows with one anchor and a marked side become pieces (the bytes that the run spans). Equal pieces
+   are counted as one before they are dealt out, so a passage of a third of all texts costs one piece.
 3. A bucket's pieces are split into shards; each shard gets its transform, the transforms are merged by
    interleave refinement, and the runs of LENGTH common bytes that hold two places or more are the repeats.
 4. The repeated places go back to the texts, are joined into spans there, and the rest is kept.
@@ -22,6 +23,7 @@ gives an empty result. Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +36,7 @@ from .bwt import repeated
 from .common import materialize, mix, powers, string_chunks
 
 LENGTH, GRAM = 200, 32
+HALF = (LENGTH - GRAM) // 2
 #: Bits of the bitmap of anchors: 8 MB, whatever the size of the corpus.
 BITMAP_BITS = 26
 #: Bytes of whole buckets that are merged at once; one larger bucket is merged alone.
@@ -42,35 +45,44 @@ BLOCK_BYTES = 1 << 19
 _BYTE = np.random.default_rng(31).integers(1, 1 << 63, 256).astype(np.uint64)
 
 
-def _runs(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor: row, first window, end (both from the row's start), anchor's place and hash."""
-    none = np.zeros(0, np.int64)
-    if len(buf) < LENGTH:
-        return none, none, none, none, none.astype(np.uint64)
-    up, down = powers(len(buf) + 1)
-    total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_BYTE[buf] * up[: len(buf)], out=total[1:])
-    grams = len(buf) - GRAM + 1
-    hashes = mix((total[GRAM:] - total[:-GRAM]) * down[:grams])
-    # the upper bits of the hash, then the place: the smallest is the leftmost of the smallest
-    value = (hashes & ~np.uint64((1 << 28) - 1)) | np.arange(grams, dtype=np.uint64)
-    width, span = LENGTH - GRAM + 1, 1
-    while 2 * span <= width:
-        value = np.minimum(value[:-span], value[span:])
-        span *= 2
-    if span < width:
-        value = np.minimum(value[: len(value) - (width - span)], value[width - span :])
-    anchor = (value & np.uint64((1 << 28) - 1)).astype(np.int64)
-    windows = np.arange(len(anchor))
-    row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[: len(anchor)]
-    ok = windows + LENGTH <= offs[row + 1]
-    windows, anchor, row = windows[ok], anchor[ok], row[ok]
-    if not len(windows):
-        return none, none, none, none, none.astype(np.uint64)
-    new = np.r_[True, (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])]
-    first = np.flatnonzero(new)
-    last = np.r_[first[1:], len(windows)] - 1
-    return row[first], windows[first] - offs[row[first]], windows[last] + 1 - offs[row[first]], anchor[first], hashes[anchor[first]]
+class _Runs:
+    """Runs of windows with one anchor: row, first window and end (from the row's start), the anchor's hash; and
+    for the windows that reach HALF bytes or more before (L) and behind (R) the anchor the hash of these bytes
+    and the anchor, which equal windows share, and where they end or begin."""
+
+    def __init__(self, buf: np.ndarray, offs: np.ndarray):
+        self.n = 0
+        if len(buf) < LENGTH:
+            return
+        up, down = powers(len(buf) + 1)
+        total = np.zeros(len(buf) + 1, np.uint64)
+        np.cumsum(_BYTE[buf] * up[: len(buf)], out=total[1:])
+        grams = len(buf) - GRAM + 1
+        hashes = mix((total[GRAM:] - total[:-GRAM]) * down[:grams])
+        # the upper bits of the hash, then the place: the smallest is the leftmost of the smallest
+        value = (hashes & ~np.uint64((1 << 28) - 1)) | np.arange(grams, dtype=np.uint64)
+        width, span = LENGTH - GRAM + 1, 1
+        while 2 * span <= width:
+            value = np.minimum(value[:-span], value[span:])
+            span *= 2
+        if span < width:
+            value = np.minimum(value[: len(value) - (width - span)], value[width - span :])
+        anchor = (value & np.uint64((1 << 28) - 1)).astype(np.int64)
+        row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[: len(anchor)]
+        windows = np.flatnonzero(np.arange(len(anchor)) + LENGTH <= offs[row + 1])
+        if not len(windows):
+            return
+        anchor, row = anchor[windows], row[windows]
+        first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])])
+        last = np.r_[first[1:], len(windows)] - 1
+        at, self.row = anchor[first], row[first]
+        low = offs[self.row]
+        self.n, self.first, self.end, self.bucket = len(first), windows[first] - low, windows[last] + 1 - low, hashes[at]
+        self.middle = at - HALF - low  # the window that reaches HALF bytes to both sides
+        has = self.first <= self.middle, self.end > self.middle
+        begin = np.where(has[0], at - HALF, 0), np.where(has[1], at, 0)
+        size = HALF + GRAM
+        self.sides = [(h, mix((total[x + size] - total[x]) * down[x] + np.uint64(k + 1))) for k, (h, x) in enumerate(zip(has, begin, strict=True))]
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -85,8 +97,10 @@ def marked_anchors(texts: DataFrame) -> np.ndarray:
         for batch in batches:
             th = batch.column(0).to_numpy()
             for at, _, buf, offs in string_chunks(batch.column(1)):
-                row, _, _, _, h = _runs(buf, offs)
-                if len(row):
+                runs = _Runs(buf, offs)
+                if runs.n:
+                    h = np.concatenate([h[has] for has, h in runs.sides])
+                    row = np.concatenate([runs.row[has] for has, _ in runs.sides])
                     order = np.lexsort((h, row))
                     h, row = h[order], row[order]
                     first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (row[1:] != row[:-1])])
@@ -110,10 +124,17 @@ def pieces(texts: DataFrame, bitmap: np.ndarray) -> DataFrame:
         bits = sent.value
         for batch in batches:
             for at, _, buf, offs in string_chunks(batch.column(2)):
-                row, first, end, _, h = _runs(buf, offs)
-                bit = h >> np.uint64(64 - BITMAP_BITS)
-                keep = (bits[(bit >> np.uint64(5)).astype(np.int64)] >> (bit & np.uint64(31)).astype(np.uint32)) & 1 == 1
-                row, first, end, h = row[keep], first[keep], end[keep], h[keep]
+                runs = _Runs(buf, offs)
+                if not runs.n:
+                    continue
+                marked = []
+                for has, h in runs.sides:
+                    bit = h >> np.uint64(64 - BITMAP_BITS)
+                    marked.append(has & ((bits[(bit >> np.uint64(5)).astype(np.int64)] >> (bit & np.uint64(31)).astype(np.uint32)) & 1 == 1))
+                first = np.where(marked[0], runs.first, np.maximum(runs.first, runs.middle))
+                end = np.where(marked[1], runs.end, np.minimum(runs.end, runs.middle + 1))
+                keep = np.flatnonzero((marked[0] | marked[1]) & (first < end))
+                row, first, end, h = runs.row[keep], first[keep], end[keep], runs.bucket[keep]
                 for k in range(0, len(row), 5000):
                     part = slice(k, k + 5000)
                     low = offs[row[part]] + first[part]
@@ -138,7 +159,12 @@ def repeated_places(counted: DataFrame) -> DataFrame:
         size = 0
 
         def block() -> Iterator[pa.RecordBatch]:
-            found = repeated([x[2] for x in held], np.array([x[3] for x in held]), LENGTH)
+            # The windows of a piece have its anchor at different distances, so no two are equal: a bucket of
+            # one piece is settled by its weight.
+            per = Counter(x[0] for x in held)
+            several = [x for x in held if per[x[0]] > 1]
+            merged = iter(repeated([x[2] for x in several], np.array([x[3] for x in several]), LENGTH) if several else [])
+            found = [next(merged) if per[x[0]] > 1 else np.arange(len(x[2]) - LENGTH + 1 if x[3] > 1 else 0) for x in held]
             rows = []
             for (bucket, name, _, _), places in zip(held, found, strict=True):
                 if len(places):
