@@ -13,6 +13,7 @@ other than the id and the text are ignored and may have any name. A row without
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from collections.abc import Iterator
 from itertools import combinations
@@ -36,11 +37,11 @@ PIVOTS = np.random.default_rng(20).integers(0, 1 << 64, (24, 4), dtype=np.uint64
 #: Up to so many rows of a key, all their links are given; of more, a spanning forest.
 PAIR_ROWS = 32
 
-#: Wide fingerprints, for a similarity below what 3 bits can tell: words of 64 bits (a seed each), tables of
-#: so many of their bits, and the differing bits that still link. Texts whose word shingles have a Jaccard
-#: similarity of 0.8 differ in 15 of 100 bits, so in 39 of 256 on average, with a deviation of 6.
-WIDE_WORDS, WIDE_TABLES, WIDE_KEY_BITS, WIDE_RADIUS = 4, 64, 20, 46
-_WIDE_BITS = np.stack([np.random.default_rng(1000 + t).choice(64 * WIDE_WORDS, WIDE_KEY_BITS, replace=False) for t in range(WIDE_TABLES)])
+#: Min-hashes of a set of shingles, for a similarity below what 3 bits can tell: BANDS keys of ROWS minima each.
+#: They only find candidates: a pair at the least Jaccard similarity SHARED / OF shares no key with a chance of
+#: (1 - 0.8^5)^32, 3 in a million; every link is verified on the sets.
+BANDS, ROWS, SHARED, OF = 32, 5, 4, 5
+_XOR, _TIMES = np.random.default_rng(1000).integers(0, 1 << 64, (2, BANDS * ROWS), dtype=np.uint64) | np.array([[0], [1]], np.uint64)
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.float64)
 
@@ -70,19 +71,48 @@ def shingles(buf: np.ndarray, offs: np.ndarray, width: int) -> tuple[np.ndarray,
     return starts[keep], ends[last[keep]], row[keep]
 
 
-def _fingerprints(column: pa.Array, width: int, words: int = 1) -> np.ndarray:
-    """Bit i of a row's fingerprint is set if it is set in over half of its shingles' hashes. One row of
-    words for each text; the words after the first are of hashes mixed from the first."""
-    out = np.zeros((len(column), words), np.uint64)
+def _fingerprints(column: pa.Array, width: int) -> np.ndarray:
+    """Bit i of a row's fingerprint is set if it is set in over half of its shingles' hashes. One row of one
+    word for each text."""
+    out = np.zeros((len(column), 1), np.uint64)
     for at, end, raw, raw_offs in string_chunks(column):
         buf, offs = squeezed(raw, raw_offs)
         starts, ends, row = shingles(buf, offs, width)
-        hashes, n = xxh64_spans(buf, starts, ends, SEED), end - at
+        one, n = xxh64_spans(buf, starts, ends, SEED).view(np.uint8).reshape(-1, 8), end - at
         half = np.bincount(row, minlength=n)[:, None]
-        for word in range(words):
-            one = (mix(hashes + np.uint64(word)) if word else hashes).view(np.uint8).reshape(-1, 8)
-            counts = [np.bincount(row * 256 + one[:, i], minlength=n * 256).reshape(n, 256) @ _BITS for i in range(8)]
-            out[at:end, word] = np.packbits(2 * np.concatenate(counts, axis=1) > half, axis=1, bitorder="little").view("<u8")[:, 0]
+        counts = [np.bincount(row * 256 + one[:, i], minlength=n * 256).reshape(n, 256) @ _BITS for i in range(8)]
+        out[at:end, 0] = np.packbits(2 * np.concatenate(counts, axis=1) > half, axis=1, bitorder="little").view("<u8")[:, 0]
+    return out
+
+
+def _sets(column: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs of rows: the hashes of each row's shingles, each once and in order, and the rows' offsets in them."""
+    for at, end, raw, raw_offs in string_chunks(column):
+        buf, offs = squeezed(raw, raw_offs)
+        starts, ends, row = shingles(buf, offs, width)
+        hashes = xxh64_spans(buf, starts, ends, SEED)
+        order = np.lexsort((hashes, row))
+        hashes, row = hashes[order], row[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
+        yield hashes[new], np.searchsorted(row[new], np.arange(end - at + 1))
+
+
+def _digests(hashes: np.ndarray, offs: np.ndarray) -> list[bytes]:
+    return [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest() for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
+
+
+def _band_keys(hashes: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """BANDS keys of each set; those of an empty set are 0."""
+    out = np.zeros((len(offs) - 1, BANDS), np.uint64)
+    some = np.flatnonzero(np.diff(offs))
+    if not len(some):
+        return out
+    for band in range(BANDS):
+        key = np.full(len(some), band + 1, np.uint64)
+        for k in range(band * ROWS, (band + 1) * ROWS):
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat((hashes ^ _XOR[k]) * _TIMES[k], offs[some]))
+        out[some, band] = key
     return out
 
 
@@ -203,36 +233,100 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(root, "fp", "left")
 
 
+def _alike(sets: list[np.ndarray], reps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join one key's sets as all its pairs of a Jaccard similarity of SHARED / OF or more would. As
+    in _forest each set, once reached, is compared with all that no tree has reached yet."""
+    order = np.argsort(reps, kind="stable")
+    sets, reps = [sets[i] for i in order.tolist()], reps[order]
+    size = np.array([len(x) for x in sets])
+    bounds = np.r_[0, np.cumsum(size)]
+    _, item = np.unique(np.concatenate(sets), return_inverse=True)
+    has = np.zeros(len(item) + 1, bool)
+    rest, left_items, left_rows = np.arange(len(sets)), item, np.repeat(np.arange(len(sets)), size)
+    left, right = [], []
+    open_: list[int] = []
+    while len(rest):
+        i = heapq.heappop(open_) if open_ else int(rest[0])
+        mine = item[bounds[i] : bounds[i + 1]]
+        has[mine] = True
+        both = np.bincount(left_rows[has[left_items]], minlength=len(sets))[rest]
+        has[mine] = False
+        hit = (OF * both >= SHARED * (size[i] + size[rest] - both)) & (rest != i)
+        gone = hit | (rest == i)
+        left.append(np.full(int(hit.sum()), reps[i]))
+        right.append(reps[rest[hit]])
+        for j in rest[hit].tolist():
+            heapq.heappush(open_, j)
+        if gone.any():
+            stays = np.ones(len(sets), bool)
+            stays[rest[gone]] = False
+            rest, keep = rest[~gone], stays[left_rows]
+            left_items, left_rows = left_items[keep], left_rows[keep]
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, rep, set) in the order of key: the links within each key."""
+    now, reps, sets = None, [], []
+
+    def found() -> pa.RecordBatch:
+        a, b = _alike(sets, np.array(reps, np.int64)) if len(sets) > 1 else (np.zeros(0, np.int64),) * 2
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["src", "dst"])
+
+    for batch in batches:
+        for key, rep, one in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            if key != now:
+                if len(sets) > 1:
+                    yield found()
+                now, reps, sets = key, [], []
+            reps.append(rep)
+            sets.append(np.frombuffer(one.as_py(), np.uint64))
+    if len(sets) > 1:
+        yield found()
+
+
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
     """(id, component): the smallest id reachable over links between texts whose sets of word shingles have a
-    Jaccard similarity of about 0.8 or more, told by wide fingerprints. Ids are unique; null ids are left out."""
-    names = [f"w{k}" for k in range(WIDE_WORDS)]
+    Jaccard similarity of 0.8 or more. Min-hashes find the candidates, the sets decide. Ids are unique; null
+    ids are left out."""
 
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = _fingerprints(batch.column(1), width, WIDE_WORDS).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(found[:, k]) for k in range(WIDE_WORDS)]], ["id", *names])
+            at = 0
+            for hashes, offs in _sets(batch.column(1), width):
+                n = len(offs) - 1
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(_band_keys(hashes, offs).view(np.int64).ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(_digests(hashes, offs), pa.binary()), keys], ["id", "digest", "keys"])
+                at += n
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for hashes, offs in _sets(batch.column(1), width):
+                n = len(offs) - 1
+                ids, digests, keys = (batch.column(k).slice(at, n).to_pylist() for k in (0, 2, 3))
+                for i, digest in enumerate(_digests(hashes, offs)):
+                    if digest == digests[i]:  # of rows of one id, that of the class
+                        one = hashes[offs[i] : offs[i + 1]].tobytes()
+                        for k in range(0, len(keys[i]), 8):
+                            some = keys[i][k : k + 8]
+                            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([ids[i]] * len(some), pa.int64()), pa.array([one] * len(some), pa.binary())], ["key", "rep", "shingles"])
+                at += n
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for k in range(0, len(whole), 2000):
-                batch = whole.slice(k, 2000)
-                fps = np.stack([batch.column(i + 1).to_numpy() for i in range(WIDE_WORDS)], axis=1)
-                bits = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8), axis=1, bitorder="little")
-                key = bits[:, _WIDE_BITS].astype(np.int64) @ (1 << np.arange(WIDE_KEY_BITS)) | (np.arange(WIDE_TABLES) << WIDE_KEY_BITS)
-                again = np.repeat(np.arange(len(batch)), WIDE_TABLES)
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(batch.column(0).to_numpy()[again]), *[pa.array(fps[again, i]) for i in range(WIDE_WORDS)]], ["key", "rep", *names])
-
-    words = ", ".join(f"{n} long" for n in names)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
-    made = materialize(rows.mapInArrow(prints, f"id long, {words}"))
-    classes = materialize(made.groupBy(*names).agg(F.min("id").alias("rep")))
-    keys = classes.select("rep", *names).mapInArrow(keyed, f"key long, rep long, {words}")
-    # Many keys hold the same group, so a forest is given for all but pairs.
-    found = keys.repartition(F.col("key")).sortWithinPartitions("key").mapInArrow(_linked(WIDE_RADIUS, WIDE_WORDS, 2), "src long, dst long").distinct()
+    made = materialize(rows.mapInArrow(keyed, "id long, digest binary, keys array<long>"))
+    classes = materialize(made.groupBy("digest").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")))
+    pairs = classes.select("rep", "digest", F.explode("keys").alias("key"))
+    # A key of one class links nothing, and of keys with the same classes one is enough.
+    held = pairs.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("which")).filter("n > 1")
+    held = held.groupBy("n", "which").agg(F.min("key").alias("key"))
+    wanted = materialize(pairs.join(held, "key").groupBy("rep", "digest").agg(F.collect_list("key").alias("keys")))
+    sets = rows.join(wanted.withColumnRenamed("rep", "id"), "id").select("id", "text", "digest", "keys").mapInArrow(spread, "key long, rep long, shingles binary")
+    found = sets.repartition(F.col("key")).sortWithinPartitions("key").mapInArrow(_verified, "src long, dst long").distinct()
     members = connected(found)
-    root = classes.join(members.withColumnRenamed("node", "rep"), "rep", "left").select(*names, F.coalesce("root", "rep").alias("component"))
-    return made.join(root, names, "left").select("id", "component")
+    root = classes.join(members.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("component"))
+    return made.select("id", "digest").join(root, "digest", "left").select("id", "component")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:

@@ -94,3 +94,25 @@ def test_deduplicated(make):
     assert simhash.deduplicated(rows).columns == rows.columns
     nameless = make([(None, "a b c", "x"), (None, "a b c", "x"), (1, "a b c", "x")])
     assert simhash.deduplicated(nameless).count() == 3
+
+
+def jaccard(a, b, width=5):
+    a, b = ({tuple(t.split()[i : i + width]) for i in range(max(1, len(t.split()) - width + 1))} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_similar_is_the_exact_jaccard_of_0_8(make):
+    rng = random.Random(3)
+    texts = []
+    for edits in [0, 1, 2, 3, 4, 5, 6, 7] * 12:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(184)]
+        copy = words[:]
+        for at in rng.sample(range(8, 176), edits):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        texts += [" ".join(words), " ".join(copy)]
+    for _ in range(40):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(9)]
+        texts += [" ".join(words), " ".join(words[:8])]  # 4 of 5 shingles
+    got = {r.id: r.component for r in simhash.similar(make(texts)).collect()}
+    for i in range(0, len(texts), 2):
+        assert got[i] == i and (got[i + 1] == i) == (jaccard(texts[i], texts[i + 1]) >= 0.8), i
