@@ -116,3 +116,12 @@ def test_similar_is_the_exact_jaccard_of_0_8(make):
     got = {r.id: r.component for r in simhash.similar(make(texts)).collect()}
     for i in range(0, len(texts), 2):
         assert got[i] == i and (got[i + 1] == i) == (jaccard(texts[i], texts[i + 1]) >= 0.8), i
+
+
+def test_repeated_lines_link_nothing(make):
+    rng = random.Random(4)
+    line = [f"r{k}" for k in range(7)] * 100
+    texts = [" ".join(line + [f"w{rng.randrange(10**6)}" for _ in range(150)]) for _ in range(6)]
+    assert jaccard(texts[0], texts[1]) < 0.1
+    assert {r.id: r.component for r in simhash.similar(make(texts)).collect()} == {i: i for i in range(6)}
+    assert simhash.deduplicated(make(texts)).count() == 6
