@@ -3,7 +3,7 @@
 Every text is searched for base secrets (assignments, access keys, long hex) and for further credential
 formats that are candidates only. Each candidate value is hashed; over the whole corpus the distinct
 repositories and owners of each hash are counted. A value of many owners is a widely copied example
-(documentation, test keys); one that stays with an owner looks live. Base findings are always reported;
+(documentation, test keys); one that stays with an owner looks live, in however many repositories. Base findings are always reported;
 a further candidate is reported when it looks live.
 
 Positions are code points. A null text counts as empty; a null owner or repository is one value of its own.
@@ -49,9 +49,9 @@ HINTS = {
     "base64": r"[A-Za-z0-9+/_-]{40}",
 }
 KINDS = [*BASE, *EXTRA]
-#: A value that more owners or repositories than these share is a widely copied example.
+#: A value that more owners than these share is a widely copied example. How many of an owner's repositories
+#: hold it tells nothing: copies within one owner are still that owner's.
 MOST_OWNERS = 1
-MOST_REPOSITORIES = 3
 
 
 def _random_looking(s: str) -> bool:
@@ -107,7 +107,7 @@ def ownership(found: DataFrame) -> DataFrame:
 def findings(found: DataFrame) -> DataFrame:
     """(row, id, kind, start, end, n_repositories, n_owners, verdict) of every candidate span."""
     one = found.select("row", "id", F.explode("spans").alias("s")).select("row", "id", "s.kind", "s.start", "s.end", "s.value")
-    copied = (F.col("n_owners") > MOST_OWNERS) | (F.col("n_repositories") > MOST_REPOSITORIES)
+    copied = F.col("n_owners") > MOST_OWNERS
     # Written out, so that both sides of the join are dealt anew and a value of very many rows can be split.
     return one.join(materialize(ownership(found)), "value").select("row", "id", "kind", "start", "end", "n_repositories", "n_owners", F.when(copied, "copied_example").otherwise("owner_specific").alias("verdict"))
 

@@ -42,3 +42,10 @@ def test_scrubbed(make):
     got = {r.doc_id: r for r in secrets.scrubbed(rows).collect()}
     assert got[0].text == "a <assign> b" and got[0].n_chars == len("a <assign> b") and got[1].text is None and got[2].text == "clean" and got[3].text == "k <prefixed>"
     assert secrets.redacted("abcdef", [(1, 3, "x"), (2, 5, "y")]) == "a<x>f"
+
+
+def test_a_value_in_many_documents_of_one_owner_is_live(make):
+    key = "ghp_" + "Ab1" * 10
+    rows = make([(i, f"{i} {key}", "a") for i in range(6)])
+    assert all([s["verdict"] for s in r.spans] == ["owner_specific"] for r in secrets.scan(rows).collect())
+    assert all(r.text == f"{r.doc_id} <prefixed>" for r in secrets.scrubbed(rows).collect())
