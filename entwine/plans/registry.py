@@ -17,10 +17,6 @@ from ..operators import audit, blocking, evaluate, features, models, split, vali
 from ..operators.normalize import CLEAN, clean_records
 from ..sources.tables import entity_view, joined_lists
 
-#: A block size that prunes on small tables.
-SMALL_BLOCK = 40
-MOST = 10
-
 
 # ---- DataFrames -------------------------------------------------------------------------------------------
 
@@ -49,7 +45,7 @@ def _entities(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _candidates(spark: SparkSession, d: str) -> DataFrame:
-    return blocking.candidates(*_sides(spark, d), MOST, SMALL_BLOCK)
+    return blocking.candidates(*_sides(spark, d))
 
 
 def _folds(spark: SparkSession, d: str) -> DataFrame:
@@ -111,7 +107,7 @@ def postings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def block_sizes(spark: SparkSession, d: str) -> DataFrame:
-    return _long(blocking.block_sizes(_sides(spark, d)[1]), "rule").filter(F.col("size") <= SMALL_BLOCK)
+    return _long(blocking.block_sizes(_sides(spark, d)[1]), "rule").filter(F.col("size") <= blocking.MAX_BLOCK)
 
 
 def _block(rule: int) -> Callable[[SparkSession, str], DataFrame]:
@@ -313,12 +309,12 @@ keys AS (
   UNION ALL SELECT source, entity_id, 7, 0, clean_name_no_suffix[4:6], false FROM core WHERE length(clean_name_no_suffix) >= 6),
 posts AS (SELECT entity_id, rule, pos, key FROM keys WHERE key <> '' AND source <> 'S1'),
 probes AS (SELECT entity_id, rule, pos, key FROM keys WHERE key <> '' AND source = 'S1' AND probe),
-small AS (SELECT rule, key, count(*) AS size FROM posts GROUP BY ALL HAVING count(*) <= {SMALL_BLOCK}),
+small AS (SELECT rule, key, count(*) AS size FROM posts GROUP BY ALL HAVING count(*) <= {blocking.MAX_BLOCK}),
 hits AS (SELECT p.entity_id AS s1_entity_id, t.entity_id AS target_entity_id, p.rule, min(p.pos) AS pos FROM probes p JOIN small USING (rule, key) JOIN posts t USING (rule, key) GROUP BY ALL),
 paired AS (SELECT s1_entity_id, target_entity_id, count(DISTINCT rule) AS num_rules, min(rule * 100000 + pos) AS first_,
     list_sort(list(DISTINCT [{", ".join(map(_q, blocking.RULES))}][rule])) AS rules FROM hits GROUP BY ALL),
 cand AS (SELECT s1_entity_id, target_entity_id, substr(target_entity_id, 1, 2) AS target_source, rules, num_rules FROM paired
-  QUALIFY row_number() OVER (PARTITION BY s1_entity_id ORDER BY num_rules DESC, first_, substr(target_entity_id, 1, 2), target_entity_id) <= {MOST}),
+  QUALIFY row_number() OVER (PARTITION BY s1_entity_id ORDER BY num_rules DESC, first_, substr(target_entity_id, 1, 2), target_entity_id) <= {blocking.MAX_CANDIDATES}),
 ents AS (SELECT entity_id AS s1_entity_id FROM view_ WHERE source = 'S1'),
 truth AS (SELECT a.entity_id AS s1_entity_id, b.entity_id AS target_entity_id FROM view_ a JOIN view_ b ON a.text = b.text WHERE a.source = 'S1' AND b.source <> 'S1'),
 strata AS (SELECT c.entity_id, upper(c.normalized_country) || '_' || CASE coalesce(n, 0) WHEN 0 THEN 'singleton' WHEN 1 THEN 'one_to_one' ELSE 'one_to_many' END AS stratum

@@ -20,3 +20,13 @@ def test_query_gives_what_its_sql_gives(spark, name):
 
     rows = lambda df: sorted(tuple(map(text, r)) for r in df[cols].astype(object).itertuples(index=False))
     assert rows(got) == rows(want)
+
+
+def test_queries_block_with_the_parameters_of_the_reference(spark, tmp_path):
+    same = [(i, "one two three four five six seven eight nine ten", "en", "s", 48) for i in range(66)]
+    spark.createDataFrame(same, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = registry.queries()["candidates_topk"](spark, str(tmp_path))
+    assert got.count() == 22 * 44  # a block of 44 targets, all of them candidates of each entity
+    assert {r["size"] for r in registry.queries()["block_sizes"](spark, str(tmp_path)).collect()} == {44}
+    sql = registry.oracle_sql()["candidates_topk"]
+    assert "<= 1500" in sql and "<= 100)" in sql
