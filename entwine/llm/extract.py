@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: A template recurs around so many different texts of its host, and around this share of its pages.
-LEAST_TEXTS, LEAST_SHARE = 5, 0.05
-#: What holds more than this share of a page's main text is not taken for a template.
+#: A template recurs around so many different texts of its host, however many pages the host has.
+LEAST_TEXTS = 5
+#: A container of more than this share of a page's main text proves no template there; one proven on other pages
+#: goes from that page too.
 MOST_OF_PAGE = 0.5
 
 # Fixed values of HTML.
@@ -101,8 +102,8 @@ class _Region:
         return sum(map(len, self.blocks))
 
 
-def read(page: str) -> tuple[list[str], list[tuple[int, int, int]]]:
-    """Blocks of the page's main part, and its containers: hash, first and last block."""
+def read(page: str) -> tuple[list[str], list[tuple[int, int, int, bool]]]:
+    """Blocks of the page's main part, and its containers: hash, first and last block, and whether it holds most of the text."""
     stack: list[str] = []
     skip = 0  # depth of the outermost unwanted element, 0: none
     head_only = 0  # depth of a header inside an article, of which only headings count
@@ -217,8 +218,8 @@ def read(page: str) -> tuple[list[str], list[tuple[int, int, int]]]:
         best = max(regions, key=lambda r: r.size, default=None)
         if best is not None and best.blocks:
             total = best.size
-            kept = [(int.from_bytes(h, "little", signed=True), a, b) for h, a, b in best.containers if sum(map(len, best.blocks[a : b + 1])) <= MOST_OF_PAGE * total]
-            return best.blocks, kept
+            held = [(int.from_bytes(h, "little", signed=True), a, b, sum(map(len, best.blocks[a : b + 1])) > MOST_OF_PAGE * total) for h, a, b in best.containers]
+            return best.blocks, held
     return [], []
 
 
@@ -229,8 +230,8 @@ def host(url: str | None) -> str:
         return ""
 
 
-_SCHEMA = "url string, host string, blocks array<string>, containers array<struct<hash:bigint,first:int,last:int>>, digest bigint"
-_CONTAINER = pa.struct([("hash", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
+_SCHEMA = "url string, host string, blocks array<string>, containers array<struct<hash:bigint,first:int,last:int,most:boolean>>, digest bigint"
+_CONTAINER = pa.struct([("hash", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("most", pa.bool_())])
 
 
 def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -243,7 +244,7 @@ def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
                 found = [read(x.as_py() or "") for x in part.column(2)]
                 hosts = [host(u.as_py()) for u in part.column(1)]
                 digests = [int.from_bytes(hashlib.blake2b("\n".join(b).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) for b, _ in found]
-                containers = pa.array([[{"hash": h, "first": a, "last": b} for h, a, b in c] for _, c in found], pa.list_(_CONTAINER))
+                containers = pa.array([[{"hash": h, "first": a, "last": b, "most": m} for h, a, b, m in c] for _, c in found], pa.list_(_CONTAINER))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(hosts, pa.string()), pa.array([b for b, _ in found], pa.list_(pa.string())), containers, pa.array(digests, pa.int64())], ["id", "url", "host", "blocks", "containers", "digest"])
 
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
@@ -254,11 +255,8 @@ def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
 def templates(found: DataFrame) -> DataFrame:
     """(host, hash): containers that recur around many different texts of their host. Distinct (host, hash,
     text) are made before the counts, so a host with a third of all pages is summed where it is read."""
-    seen = found.select("host", "digest", F.explode("containers.hash").alias("hash")).distinct()
-    texts = found.select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("texts"))
-    counts = seen.groupBy("host", "hash").agg(F.count("*").alias("n"))
-    least = F.greatest(F.lit(LEAST_TEXTS), F.ceil(F.col("texts") * LEAST_SHARE))
-    return counts.filter(F.col("n") >= LEAST_TEXTS).join(texts, "host").filter(F.col("n") >= least).select("host", "hash")
+    seen = found.select("host", "digest", F.explode(F.filter("containers", lambda c: ~c["most"])).alias("c")).select("host", "digest", "c.hash").distinct()
+    return seen.groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_TEXTS).select("host", "hash")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -268,7 +266,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     known = materialize(templates(with_any))
     held = with_any.select("row", "host", F.explode("containers").alias("c")).select("row", "host", F.col("c.hash").alias("hash"), "c")
     gone = held.join(known, ["host", "hash"]).groupBy("row").agg(F.collect_list("c").alias("gone"))
-    none = F.array().cast("array<struct<hash:bigint,first:int,last:int>>")
+    none = F.array().cast("array<struct<hash:bigint,first:int,last:int,most:boolean>>")
     plain = found.filter(F.size("containers") == 0).withColumn("gone", none)  # not dealt anew: nothing can go
     out = plain.unionByName(with_any.join(gone, "row", "left").withColumn("gone", F.coalesce("gone", none)))
     kept = F.filter("blocks", lambda _, i: ~F.exists("gone", lambda g: (i >= g["first"]) & (i <= g["last"])))

@@ -29,3 +29,13 @@ def test_edges(spark):
     rows = spark.createDataFrame([(1, "u", "<p>a")] * 2, PAGE).withColumn("host", F.lit(1)).withColumn("blocks", F.lit(1)).withColumn("row", F.lit(1))
     assert [r.text for r in X.extract(rows).collect()] == ["a", "a"]
     assert len(X.read("<div>" * 3000 + "deep")[0]) == 1
+
+
+def test_templates_of_few_pages_of_a_large_host_go_and_from_short_pages_too(spark):
+    page = lambda i, widget: f"<article><p>Text number {i} of this page, long enough to be most of it.</p><div class=x><p>Own {i}</p></div>{widget}</article>"
+    widget = "<div class=x><p>Read more on our site</p></div>"
+    rows = [(i, "http://a.example/x", page(i, widget if i < 6 else "")) for i in range(130)] + [(200, "http://a.example/x", f"<article><p>Short.</p>{widget}</article>")]
+    rows += [(300 + i, "http://b.example/x", f"<article><p>{i}</p>{widget}</article>") for i in range(8)]  # most of every page
+    got = {r.id: r.text for r in X.extract(spark.createDataFrame(rows, PAGE)).collect()}
+    assert not any("Read more" in got[i] for i in range(130)) and all(got[i].endswith(f"Own {i}") for i in range(130))
+    assert got[200] == "Short." and all(got[300 + i].endswith("Read more on our site") for i in range(8))
