@@ -75,7 +75,7 @@ _powers: list[np.ndarray] = []
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
-        n = max(n, CHUNK_BYTES + 1)
+        n = max(n, 2 * len(_powers[0]) if _powers else 1 << 16)
         _powers[:] = [np.multiply.accumulate(np.r_[np.uint64(1), np.full(n - 1, p, np.uint64)]) for p in (_P, _P_INV)]
     return _powers[0], _powers[1]
 

@@ -80,10 +80,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = docs.withColumn("ids", pieces.encode(F.col("text")))
-    found = found.withColumn("decoded", pieces.decode(F.col("ids")))
-    return found.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+    found = pieces.round_trips(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_ids"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.col("exact").alias("round_trip"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,13 +18,15 @@ alike. All other columns are kept as they are, whatever their names.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from .common import mix, powers, string_chunks
 
@@ -41,6 +43,8 @@ _POOL, _SLOTS = 1 << 23, 21
 _IDS = 1 << 18
 #: Words times places searched at once.
 _CELLS = 1 << 18
+#: Bytes of text that a worker takes from encoding to its output at once, and bytes of words it hashes at once.
+SLICE_BYTES = 1 << 20
 
 _mixed = mix(np.arange(256, dtype=np.uint64) + np.uint64(0xABCDEF))
 
@@ -264,27 +268,38 @@ class Pieces:
                 self.used += len(ids)
         return at, n
 
+    def _ids_of(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these words, one word after another, and their numbers; words met before are looked up."""
+        if self.used > _POOL:
+            self._reset()
+        hashes = _substrings(buf, starts, ends)
+        slot = (hashes >> np.uint64(64 - _SLOTS)).astype(np.int64)
+        at, n = self.at[slot], self.n[slot].astype(np.int64)
+        new = np.flatnonzero(self.seen[slot] != hashes)
+        uniq, one, back = np.unique(hashes[new], return_index=True, return_inverse=True)
+        first_at, count = self._learn(buf, starts[new[one]], ends[new[one]])
+        at[new], n[new] = first_at[back], count[back]
+        slot = slot[new[one]]
+        self.seen[slot] = uniq
+        stays = self.seen[slot] == uniq  # of two new words in one place
+        self.at[slot[stays]], self.n[slot[stays]] = first_at[stays], count[stays]
+        begin = np.cumsum(n) - n
+        return self.pool[np.arange(n.sum()) + np.repeat(at - begin, n)], n
+
     def encode(self, column: pa.Array) -> pa.Array:
         values, counts = [], []
-        for first, last, raw, raw_offs in string_chunks(column):
+        for first, last, raw, raw_offs in string_chunks(column, SLICE_BYTES):
             buf, offs = _marked(raw, raw_offs)
             starts, ends, row = _words(buf, offs)
-            if self.used > _POOL:
-                self._reset()
-            hashes = _substrings(buf, starts, ends)
-            slot = (hashes >> np.uint64(64 - _SLOTS)).astype(np.int64)
-            at, n = self.at[slot], self.n[slot].astype(np.int64)
-            new = np.flatnonzero(self.seen[slot] != hashes)
-            uniq, one, back = np.unique(hashes[new], return_index=True, return_inverse=True)
-            first_at, count = self._learn(buf, starts[new[one]], ends[new[one]])
-            at[new], n[new] = first_at[back], count[back]
-            slot = slot[new[one]]
-            self.seen[slot] = uniq
-            stays = self.seen[slot] == uniq  # of two new words in one place
-            self.at[slot[stays]], self.n[slot[stays]] = first_at[stays], count[stays]
-            begin = np.cumsum(n) - n
-            values.append(self.pool[np.arange(n.sum()) + np.repeat(at - begin, n)])
-            counts.append(np.bincount(row, weights=n, minlength=last - first).astype(np.int64))
+            count, a = np.zeros(last - first), 0
+            while a < len(starts):  # a very long text goes word group by word group
+                b = max(a + 1, int(np.searchsorted(ends, starts[a] + SLICE_BYTES, "right")))
+                low = starts[a]
+                ids, n = self._ids_of(buf[low : ends[b - 1]], starts[a:b] - low, ends[a:b] - low)
+                values.append(ids)
+                count += np.bincount(row[a:b], weights=n, minlength=last - first)
+                a = b
+            counts.append(count.astype(np.int64))
         size = np.concatenate(counts) if counts else np.zeros(0, np.int64)
         offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else np.zeros(0, np.int32)))
@@ -403,3 +418,38 @@ def decode(ids: Column, model: str = DEFAULT_MODEL) -> Column:
         return pieces(model).decode(x)
 
     return run(ids)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about SLICE_BYTES of text (one longer row alone)."""
+    for batch in batches:
+        for first, last, *_ in string_chunks(batch.column(at), SLICE_BYTES):
+            yield batch.slice(first, last - first)
+
+
+def encoded(docs: DataFrame, text_col: str = "text", out: str = "ids", model: str = DEFAULT_MODEL) -> DataFrame:
+    """docs with the ids of each whole text in a column `out`, which replaces one of that name. A worker holds the
+    ids of one slice of a batch, not those of all its rows."""
+    rest = docs.drop(out).withColumn(text_col, F.col(text_col).cast("string"))
+    at = [c.lower() for c in rest.columns].index(text_col.lower())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pieces(model)
+        for part in _slices(batches, at):
+            yield pa.RecordBatch.from_arrays([*part.columns, table.encode(part.column(at))], [*part.schema.names, out])
+
+    return rest.mapInArrow(run, StructType([*rest.schema.fields, StructField(out, ArrayType(IntegerType()))]))
+
+
+def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = DEFAULT_MODEL) -> DataFrame:
+    """(id, ids, exact): the ids of each whole text, and whether decoding them gives that text (a null one: empty)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pieces(model)
+        for part in _slices(batches, 1):
+            text = pc.fill_null(part.column(1), "")
+            ids = table.encode(text)
+            yield pa.RecordBatch.from_arrays([part.column(0), ids, pc.equal(table.decode(ids), text.cast(pa.string()))], ["id", "ids", "exact"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, ids array<int>, exact boolean")

@@ -45,7 +45,18 @@ def test_best_path_of_summed_scores():
 
 
 def test_columns(make):
-    rows = make(["a b", None, "a b"]).withColumn("run", F.lit(1))
+    rows = make(["a b", None, "a b"]).withColumn("run", F.lit(1)).withColumn("exact", F.lit(2))
     got = rows.withColumn("ids", P.encode(F.col("text"))).withColumn("again", P.decode(F.col("ids"))).orderBy("doc_id").collect()
     assert [r.again for r in got] == ["a b", "", "a b"] and got[0].ids == got[2].ids and got[1].ids == []
     assert make([]).withColumn("ids", P.encode(F.col("text"))).count() == 0
+    whole = P.encoded(rows.withColumn("ids", F.lit("old"))).orderBy("doc_id").collect()
+    assert [r.ids for r in whole] == [r.ids for r in got] and whole[0].run == 1 and whole[0].exact == 2
+    back = P.round_trips(rows).orderBy("id").collect()
+    assert [(r.ids, r.exact) for r in back] == [(r.ids, True) for r in got] and P.encoded(make([])).count() == P.round_trips(make([])).count() == 0
+
+
+def test_slices_change_nothing(model, docs, monkeypatch):
+    texts = [t for t in TEXTS if t] + [r.text for r in docs.limit(30).collect()]
+    want = model.encode(pa.array(texts)).to_pylist()
+    monkeypatch.setattr(P, "SLICE_BYTES", 64)  # every text is very long
+    assert P.Pieces(P.DEFAULT_MODEL).encode(pa.array(texts)).to_pylist() == want
