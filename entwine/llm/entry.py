@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chroma, decontaminate, extract, pieces, pii, quality, repeats, secrets, toxicity
-from .common import table
+from .common import materialize, table
 from .simhash import near_duplicates
 
 
@@ -55,9 +55,15 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prints = chroma.fingerprints(chroma.rendered(table(spark, sf_dir, "embeddings")), "vec_id", "audio")
-    found = chroma.search(prints, F.col("id") % 100 == 0)
-    return found.select(F.col("query").alias("query_id"), F.col("id").alias("vec_id"), "offset", "hits", "bit_error")
+    """Query recordings are noisy excerpts of the vectors whose ids are divisible by 100; each is searched for in the
+    whole tunes of all vectors. Rows: (query_id, class_id, ..) of each alignment with a class of equal fingerprints,
+    and (vec_id, class_id) of each recording that is a copy of its class's smallest id."""
+    vectors = table(spark, sf_dir, "embeddings")
+    known = materialize(chroma.classes(chroma.fingerprints(chroma.rendered(vectors), "vec_id", "audio")))
+    asked = chroma.fingerprints(chroma.rendered(vectors.filter("vec_id % 100 = 0"), excerpt=True), "vec_id", "audio")
+    found = chroma.search(asked, known).select(F.col("query").alias("query_id"), F.lit(None).cast("long").alias("vec_id"), F.col("class").alias("class_id"), "offset", "hits", "bit_error")
+    none = [F.lit(None).cast(t).alias(n) for n, t in (("offset", "long"), ("hits", "long"), ("bit_error", "double"))]
+    return found.unionByName(known.filter("id <> class").select(F.lit(None).cast("long").alias("query_id"), F.col("id").alias("vec_id"), F.col("class").alias("class_id"), *none))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
