@@ -1,15 +1,15 @@
-"""Main text of web pages: structural rules, then removal of the templates of a site.
+"""Main text of web pages: removal of the templates of a site, then structural rules for what is left.
 
-A page is read once into blocks of its main part (the longest article, else main, else body), leaving out
-elements that are not text of the page by their name, role or class. Containers that are left (div, section,
-lists, tables ..) are hashed with all they hold; in Spark each hash is counted per host over the distinct main
-texts around it, so copies of one page count once. A container that recurs around many different texts of
-its host is a template, and its blocks are deleted. Paragraphs and headings of an article are never counted:
-copies of articles on a host are no template.
+A page is read once into text parts and elements. Every element's subtree is hashed (tag, attributes and all it
+holds, the hashes of the elements in it included), whatever its name; in Spark each hash is counted per host over
+the distinct main texts around it, so copies of one page count once. A subtree that recurs around LEAST_TEXTS
+different texts of its host is a template and its parts are deleted: menus, notices, adverts, footers. Of what is
+left, elements that are not text of the page by their name, role or class go too, and the longest article, else
+main, else body gives the text. Paragraphs, headings, list items and inline elements of that text are hashed and
+counted but go only with a container around them: a sentence that many articles share is no template.
 
 A null page is empty; a page without text gives an empty text; a null url is a host of its own. Unclosed,
-misnested and cut-off markup is read as far as it goes. Repeated rows give a row each. An empty table gives
-an empty result. Other columns are ignored.
+misnested and cut-off markup is read as far as it goes. Repeated rows give a row each. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from .common import materialize
 
 #: A template recurs around so many different texts of its host, however many pages the host has.
 LEAST_TEXTS = 5
-#: A container of more than this share of a page's main text proves no template there; one proven on other pages
+#: An element of more than this share of a page's main text proves no template there; one proven on other pages
 #: goes from that page too.
 MOST_OF_PAGE = 0.5
 
@@ -39,7 +41,9 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
-CONTAINERS = frozenset("div section ul ol dl table figure details fieldset center".split())
+#: Tags of running text: where no rule names them, they are a template only as part of a larger element.
+PROSE = INLINE | frozenset("html body main article p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd tr td th tbody thead tfoot caption figcaption summary address hgroup".split())
+FLOW = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 DROPPED = frozenset("nav footer aside form button select input textarea script style noscript template iframe svg canvas object embed audio video dialog menu head title map search datalist fieldset optgroup option math".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar status".split())
@@ -53,6 +57,7 @@ NAMES = frozenset(
 _UNSURE = frozenset("no not without has with".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
+_SPACES = re.compile(r"\s+")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 
 
@@ -78,64 +83,65 @@ def _unwanted(tag: str, attrs: dict[str, str]) -> bool:
     return False
 
 
-class _Region:
-    """Blocks of a possible main part, and the containers in it."""
-
-    def __init__(self, depth: int):
-        self.depth = depth
-        self.blocks: list[str] = []
-        self.containers: list[tuple[bytes, int, int]] = []
-        self.open: list[tuple[int, int, object]] = []  # depth, first block, digest
-        self.parts: list[str] = []
-
-    def flush(self) -> None:
-        if self.parts:
-            text = " ".join(entities.unescape("".join(self.parts)).split())
-            self.parts.clear()
-            if text:
-                self.blocks.append(text)
-                for _, _, digest in self.open:
-                    digest.update(text.encode("utf-8", "surrogatepass") + b"\n")
-
-    @property
-    def size(self) -> int:
-        return sum(map(len, self.blocks))
-
-
-def read(page: str) -> tuple[list[str], list[tuple[int, int, int, bool]]]:
-    """Blocks of the page's main part, and its containers: hash, first and last block, and whether it holds most of the text."""
-    stack: list[str] = []
-    skip = 0  # depth of the outermost unwanted element, 0: none
-    head_only = 0  # depth of a header inside an article, of which only headings count
-    body = _Region(0)
-    main: list[_Region] = []
-    articles: list[_Region] = []
-    active = [body]
+@dataclass
+class Page:
+    """What was read of a page. parts: (block, article, main, ruled, flow, text) of each run of text; article and main
+    number the outermost such element around it (-1: none), ruled says that a rule leaves it out, flow that it stands in
+    a paragraph or the like. elements: (hash, first part, last part, whether it may go by itself)."""
+
+    parts: list[tuple[int, int, int, bool, bool, str]] = field(default_factory=list)
+    elements: list[tuple[int, int, int, bool]] = field(default_factory=list)
+
+
+@dataclass(slots=True)
+class _Open:
+    tag: str
+    digest: object
+    first: int
+    ruled: bool
+    article: int
+    main: int
+    flow: bool
+    header: bool  # a header in an article, of which only headings count
+
+
+def read(page: str) -> Page:
+    out = Page()
+    stack: list[_Open] = []
+    block = articles = mains = paragraphs = headings = 0
+    blank = True  # the block has no text yet
+
+    def flush() -> None:
+        nonlocal block, blank
+        if not blank:
+            block, blank = block + 1, True
 
     def pop_to(depth: int) -> None:
-        nonlocal skip, head_only
+        nonlocal paragraphs, headings
         while len(stack) > depth:
-            d = len(stack)
-            tag = stack.pop()
-            if skip == d:
-                skip = 0
-            if head_only == d:
-                head_only = 0
-            if tag not in INLINE:
-                for r in active:
-                    r.flush()
-            for r in active:
-                while r.open and r.open[-1][0] >= d:
-                    _, first, digest = r.open.pop()
-                    if len(r.blocks) > first:
-                        r.containers.append((digest.digest(), first, len(r.blocks) - 1))
-            if len(active) > 1 and active[-1].depth == d:
-                active.pop()
-
-    def add(text: str) -> None:
-        if not skip and (not head_only or HEADINGS & set(stack[head_only:])):
-            for r in active:
-                r.parts.append(text)
+            e = stack.pop()
+            if e.tag not in INLINE:
+                flush()
+            paragraphs -= e.tag == "p"
+            headings -= e.tag in HEADINGS
+            digest = e.digest.digest()
+            if stack:
+                stack[-1].digest.update(b"<" + digest)
+            if len(out.parts) > e.first:
+                out.elements.append((int.from_bytes(digest, "little", signed=True), e.first, len(out.parts) - 1, e.ruled or e.tag not in PROSE))
+
+    def add(raw: str) -> None:
+        nonlocal blank
+        text = _SPACES.sub(" ", entities.unescape(raw))
+        if not text or (blank and text == " "):
+            return
+        if stack:
+            e = stack[-1]
+            e.digest.update(b">" + text.strip().encode("utf-8", "surrogatepass"))
+            out.parts.append((block, e.article, e.main, e.ruled or (e.header and not headings), e.flow, text))
+        else:
+            out.parts.append((block, -1, -1, False, False, text))
+        blank = False
 
     at, n = 0, len(page)
     while at < n:
@@ -155,30 +161,32 @@ def read(page: str) -> tuple[list[str], list[tuple[int, int, int, bool]]]:
             break  # cut off within a tag
         if m[2] or m[5]:
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k] == tag:
+                if stack[k].tag == tag:
                     pop_to(k)
                     break
-                if tag in INLINE and stack[k] not in INLINE:
+                if tag in INLINE and stack[k].tag not in INLINE:
                     break
             continue
         raw_attrs = m[4] if m[3] else m[7]
-        if tag in CLOSES_P and "p" in stack:
-            k = len(stack) - 1 - stack[::-1].index("p")
-            if not any(t in ("button", "table", "td", "th") for t in stack[k:]):
-                pop_to(k)
+        if tag in CLOSES_P and paragraphs:
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k].tag in ("button", "table", "td", "th"):
+                    break
+                if stack[k].tag == "p":
+                    pop_to(k)
+                    break
         if tag in SIBLINGS:
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k] in SCOPES[tag]:
+                if stack[k].tag in SCOPES[tag]:
                     break
-                if stack[k] in SIBLINGS[tag]:
+                if stack[k].tag in SIBLINGS[tag]:
                     pop_to(k)
                     break
         if tag in VOID:
-            if tag in ("br", "wbr"):
-                add(" " if tag == "br" else "")
+            if tag == "br":
+                add(" ")
             elif tag not in INLINE:
-                for r in active:
-                    r.flush()
+                flush()
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
@@ -187,40 +195,46 @@ def read(page: str) -> tuple[list[str], list[tuple[int, int, int, bool]]]:
         if raw_attrs.rstrip().endswith("/") and tag in ("svg", "path"):
             continue
         if tag not in INLINE:
-            for r in active:
-                r.flush()
-        stack.append(tag)
-        depth = len(stack)
-        if skip:
-            continue
-        attrs = _attributes(raw_attrs)
-        if tag == "header":
-            if "article" in stack:
-                head_only = head_only or depth
+            flush()
+        up = stack[-1] if stack else _Open("", None, 0, False, -1, -1, False, False)
+        ruled, header, article, main = up.ruled, up.header, up.article, up.main
+        if not ruled:
+            if tag == "header":
+                header, ruled = header or article >= 0, article < 0
             else:
-                skip = depth
-            continue
-        if _unwanted(tag, attrs):
-            skip = depth
-            continue
-        if tag == "article" and not any(r in articles for r in active):
-            articles.append(_Region(depth))
-            active.append(articles[-1])
-        elif tag == "main" and not any(r in main for r in active):
-            main.append(_Region(depth))
-            active.append(main[-1])
-        elif tag in CONTAINERS:
-            for r in active:
-                r.open.append((depth, len(r.blocks), hashlib.blake2b(tag.encode() + b">", digest_size=8)))
+                ruled = _unwanted(tag, _attributes(raw_attrs))
+        if not ruled and tag == "article" and article < 0:
+            article, articles = articles, articles + 1
+        if not ruled and tag == "main" and main < 0:
+            main, mains = mains, mains + 1
+        paragraphs += tag == "p"
+        headings += tag in HEADINGS
+        digest = hashlib.blake2b(f"{tag} {_SPACES.sub(' ', raw_attrs).strip(' /')}".encode("utf-8", "surrogatepass"), digest_size=8)
+        stack.append(_Open(tag, digest, len(out.parts), ruled, article, main, up.flow or tag in FLOW, header))
     pop_to(0)
-    body.flush()
-    for regions in (articles, main, [body]):
-        best = max(regions, key=lambda r: r.size, default=None)
-        if best is not None and best.blocks:
-            total = best.size
-            held = [(int.from_bytes(h, "little", signed=True), a, b, sum(map(len, best.blocks[a : b + 1])) > MOST_OF_PAGE * total) for h, a, b in best.containers]
-            return best.blocks, held
-    return [], []
+    return out
+
+
+def blocks(parts: list[tuple[int, int, int, bool, bool, str]], gone: list[tuple[int, int]] = ()) -> list[tuple[str, bool]]:
+    """(text, flow) of the blocks of the main part: parts without those in the spans `gone` and those ruled out, of the
+    longest article with text, else the longest main, else of all."""
+    lost = np.zeros(len(parts) + 1, np.int64)
+    for first, last in gone:
+        lost[first] += 1
+        lost[last + 1] -= 1
+    kept = [p for p, k in zip(parts, np.cumsum(lost), strict=False) if not k and not p[3]]
+    for region in (1, 2, 0):
+        found: dict[int, dict[int, list]] = {}
+        for p in kept:
+            if not region or p[region] >= 0:
+                one = found.setdefault(p[region] if region else 0, {}).setdefault(p[0], [[], False])
+                one[0].append(p[5])
+                one[1] = one[1] or p[4]
+        texts = [[(t, flow) for t, flow in ((" ".join("".join(x).split()), flow) for x, flow in by.values()) if t] for by in found.values()]
+        best = max(texts, key=lambda b: sum(len(t) for t, _ in b), default=[])
+        if best:
+            return best
+    return []
 
 
 def host(url: str | None) -> str:
@@ -230,44 +244,63 @@ def host(url: str | None) -> str:
         return ""
 
 
-_SCHEMA = "url string, host string, blocks array<string>, containers array<struct<hash:bigint,first:int,last:int,most:boolean>>, digest bigint"
-_CONTAINER = pa.struct([("hash", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("most", pa.bool_())])
+_PART = pa.struct([("block", pa.int32()), ("article", pa.int32()), ("main", pa.int32()), ("ruled", pa.bool_()), ("flow", pa.bool_()), ("text", pa.string())])
+_ELEMENT = pa.struct([("hash", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("alone", pa.bool_()), ("most", pa.bool_())])
+_PARTS = "array<struct<block:int,article:int,main:int,ruled:boolean,flow:boolean,text:string>>"
+_ELEMENTS = "array<struct<hash:bigint,first:int,last:int,alone:boolean,most:boolean>>"
+
+
+def _described(page: str | None) -> tuple[Page, int, list[dict]]:
+    """The page, the hash of its paragraphs by the rules alone, and its elements with whether they hold most of its text."""
+    one = read(page or "")
+    main = blocks(one.parts)
+    prose = [t for t, flow in main if flow] or [t for t, _ in main]
+    digest = int.from_bytes(hashlib.blake2b("\n".join(prose).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+    size = np.concatenate([[0], np.cumsum([0 if p[3] else len(p[5]) for p in one.parts])])
+    total = sum(len(t) for t, _ in main)
+    return one, digest, [{"hash": h, "first": a, "last": b, "alone": alone, "most": bool(size[b + 1] - size[a] > MOST_OF_PAGE * total)} for h, a, b, alone in one.elements]
 
 
 def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(row, id, url, host, blocks, containers, digest): each page's main part before templates are known."""
+    """(row, id, url, host, digest, parts, elements): each page before templates are known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, len(batch), 256):
-                part = batch.slice(k, 256)
-                found = [read(x.as_py() or "") for x in part.column(2)]
+            for k in range(0, len(batch), 128):
+                part = batch.slice(k, 128)
+                found = [_described(x.as_py()) for x in part.column(2)]
                 hosts = [host(u.as_py()) for u in part.column(1)]
-                digests = [int.from_bytes(hashlib.blake2b("\n".join(b).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) for b, _ in found]
-                containers = pa.array([[{"hash": h, "first": a, "last": b, "most": m} for h, a, b, m in c] for _, c in found], pa.list_(_CONTAINER))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(hosts, pa.string()), pa.array([b for b, _ in found], pa.list_(pa.string())), containers, pa.array(digests, pa.int64())], ["id", "url", "host", "blocks", "containers", "digest"])
+                parts = pa.array([[dict(zip(_PART.names, p, strict=True)) for p in one.parts] for one, _, _ in found], pa.list_(_PART))
+                elements = pa.array([e for _, _, e in found], pa.list_(_ELEMENT))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(hosts, pa.string()), pa.array([d for _, d, _ in found], pa.int64()), parts, elements], ["id", "url", "host", "digest", "parts", "elements"])
 
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    found = rows.mapInArrow(run, f"id {pages.schema[id_col].dataType.simpleString()}, {_SCHEMA}")
-    return found.select(F.expr("uuid()").alias("row"), "*")
+    found = rows.mapInArrow(run, f"id {pages.schema[id_col].dataType.simpleString()}, url string, host string, digest bigint, parts {_PARTS}, elements {_ELEMENTS}")
+    return found.select(F.expr("uuid()").alias("row"), F.xxhash64("host").alias("site"), "*")
 
 
 def templates(found: DataFrame) -> DataFrame:
-    """(host, hash): containers that recur around many different texts of their host. Distinct (host, hash,
-    text) are made before the counts, so a host with a third of all pages is summed where it is read."""
-    seen = found.select("host", "digest", F.explode(F.filter("containers", lambda c: ~c["most"])).alias("c")).select("host", "digest", "c.hash").distinct()
-    return seen.groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_TEXTS).select("host", "hash")
+    """(site, hash): subtrees that recur around many different texts of their host. Distinct (site, hash, text) are
+    made before the counts, so a host with a third of all pages is summed where it is read."""
+    seen = found.select("site", "digest", F.explode(F.array_distinct(F.transform(F.filter("elements", lambda e: ~e["most"]), lambda e: e["hash"]))).alias("hash")).distinct()
+    return seen.groupBy("site", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_TEXTS).select("site", "hash")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id, url, text, n_templates): the main text of each page, its blocks joined by a line feed."""
+    """(id, url, text, n_templates): the main text of each page, its blocks joined by a line feed, and how many of its
+    elements were deleted as templates."""
     found = materialize(parsed(pages, id_col, url_col, html_col))
-    with_any = found.filter(F.size("containers") > 0)
-    known = materialize(templates(with_any))
-    held = with_any.select("row", "host", F.explode("containers").alias("c")).select("row", "host", F.col("c.hash").alias("hash"), "c")
-    gone = held.join(known, ["host", "hash"]).groupBy("row").agg(F.collect_list("c").alias("gone"))
-    none = F.array().cast("array<struct<hash:bigint,first:int,last:int,most:boolean>>")
-    plain = found.filter(F.size("containers") == 0).withColumn("gone", none)  # not dealt anew: nothing can go
-    out = plain.unionByName(with_any.join(gone, "row", "left").withColumn("gone", F.coalesce("gone", none)))
-    kept = F.filter("blocks", lambda _, i: ~F.exists("gone", lambda g: (i >= g["first"]) & (i <= g["last"])))
-    return out.select("id", "url", F.array_join(F.when(F.size("gone") > 0, kept).otherwise(F.col("blocks")), "\n").alias("text"), F.size("gone").alias("n_templates"))
+    known = materialize(templates(found))
+    held = found.select("row", "site", F.explode(F.filter("elements", lambda e: e["alone"])).alias("e")).select("row", "site", "e.hash", "e.first", "e.last")
+    gone = held.join(known, ["site", "hash"]).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("gone"))
+    joined = found.select("row", "id", "url", "parts").join(gone, "row", "left").select("id", "url", "parts", "gone")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, len(batch), 128):
+                part = batch.slice(k, 128)
+                spans = [[(g["first"], g["last"]) for g in x or ()] for x in part.column(3).to_pylist()]
+                texts = ["\n".join(t for t, _ in blocks([tuple(p.values()) for p in x], s)) for x, s in zip(part.column(2).to_pylist(), spans, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(s) for s in spans], pa.int32())], ["id", "url", "text", "n_templates"])
+
+    return joined.mapInArrow(run, f"id {pages.schema[id_col].dataType.simpleString()}, url string, text string, n_templates int")
