@@ -51,6 +51,8 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[_n(base, k).alias(f"n_{k}") for k in pii.GENERATORS],
         F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(spans).alias("spans"),
+        F.size(F.filter(spans, lambda s: ~s["base"])).cast("long").alias("n_added"),
+        F.col("n_refused").cast("long").alias("n_refused"),
     )
 
 
