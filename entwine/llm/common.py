@@ -39,6 +39,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def string_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows of about `limit` bytes (one longer row alone): first row, end row, their bytes, offsets from 0. Null counts as empty."""
     if column.null_count:

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, unused
 
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 BASE = {
@@ -32,10 +32,13 @@ BASE = {
     "access": (re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 16),
     "hex": (re.compile(r"[0-9a-f]{32,}"), lambda m: True),  # the maximal runs of 32 or more are those of + that pass
 }
+#: A private key from its BEGIN to its END line; one that is cut off as far as its lines of code go.
+_KEY_LINE = "-----%s [A-Z ]{0,30}PRIVATE KEY-----"
+BLOCK = _KEY_LINE % "BEGIN" + r"((?:[A-Za-z0-9+/=,:.\s\\]|-[A-Za-z0-9])*" + _KEY_LINE % "END" + r"|(?:\s*[A-Za-z0-9+/=]{16,})+)"
 EXTRA = {
     "jwt": (re.compile(r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"), lambda m: True),
-    "prefixed": (re.compile(r"\b(?:gh[opsu]_|xox[abprs]-|sk_live_|AIza)[A-Za-z0-9_-]{16,}"), lambda m: True),
-    "block": (re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"), lambda m: True),
+    "prefixed": (re.compile(r"\b(?:gh[opsu]_|xox[abprs]-|sk_live_|AIza)[A-Za-z0-9_-]{16,}", re.A), lambda m: True),
+    "block": (re.compile(BLOCK, re.A), lambda m: True),
     "base64": (re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}"), lambda m: _random_looking(m[0])),
 }
 #: Cheap vectorised tests (RE2) that hold for every text with a finding of the kind; the others skip its search.
@@ -60,13 +63,14 @@ def _random_looking(s: str) -> bool:
 
 
 def find(text: str, kinds: list[str] = KINDS) -> list[tuple[str, int, int, str]]:
-    """(kind, start, end, value) of the matches of the kinds, kind by kind."""
+    """(kind, start, end, value) of the matches of the kinds, kind by kind. The value of an assignment is what is
+    assigned, that of a private key what lies between its lines, without white space."""
     out = []
     for kind in kinds:
         pattern, passes = (BASE | EXTRA)[kind]
         for m in pattern.finditer(text):
             if passes(m):
-                out.append((kind, m.start(), m.end(), m[1] if kind == "assign" else m[0]))
+                out.append((kind, m.start(), m.end(), m[1] if kind == "assign" else "".join(m[1].split()) if kind == "block" else m[0]))
     return out
 
 
@@ -141,10 +145,11 @@ def redacted(text: str | None, further: list[tuple[int, int, str]]) -> str | Non
 def scrubbed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", repository_col: str | None = None, owner_col: str = "source") -> DataFrame:
     """docs with every reported secret replaced in the text, and its length set anew. A row without an id has
     its base secrets replaced; those of further kinds are looked up by id."""
+    spare = unused(docs, "further")
     found = scan(docs, id_col, text_col, repository_col, owner_col)
     further = F.filter("spans", lambda s: ~s["kind"].isin(*BASE))
-    one = found.select(F.col("id").alias(id_col), F.transform(further, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))).alias("_further"))
-    extra = one.filter(F.size("_further") > 0).groupBy(id_col).agg(F.flatten(F.collect_set("_further")).alias("_further"))
+    one = found.select(F.col("id").alias(id_col), F.transform(further, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))).alias(spare))
+    extra = one.filter(F.size(spare) > 0).groupBy(id_col).agg(F.flatten(F.collect_set(spare)).alias(spare))
 
     @F.arrow_udf("string")
     def replace(text: pa.Array, spans: pa.Array) -> pa.Array:
@@ -156,7 +161,7 @@ def scrubbed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
         new = [redacted(text[i].as_py(), [(s["start"], s["end"], s["kind"]) for s in spans[i].as_py() or []]) for i in at.tolist()]
         return pc.replace_with_mask(text, pa.array(hit), pa.array(new, text.type)) if len(at) else text
 
-    joined = docs.join(materialize(extra), id_col, "left").withColumn(text_col, replace(F.col(text_col).cast("string"), F.col("_further")))
+    joined = docs.join(materialize(extra), id_col, "left").withColumn(text_col, replace(F.col(text_col).cast("string"), F.col(spare)))
     if length_col:
         joined = joined.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
     return joined.select(docs.columns)

@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -28,6 +29,35 @@ def test_ownership(make):
     assert got[4] == {"assign": "copied_example"}  # base findings stay
 
 
+def pem(body, kind="RSA "):
+    return f"-----BEGIN {kind}PRIVATE KEY-----\n{body}\n-----END {kind}PRIVATE KEY-----"
+
+
+def test_private_keys_are_told_by_their_bodies(make):
+    keys = ["\n".join(f"{c}{k}" + "Qw+/" * 4 for k in range(5)) for c in "XYZ"]
+    cut = "-----BEGIN EC PRIVATE KEY----- " + "Ab9+" * 6 + " and no end"
+    rows = make([(i, f"see {pem(k)} there", f"o{i}") for i, k in enumerate(keys)] + [(3, pem(keys[0], ""), "o0"), (4, cut, "o1"), (5, "a -----BEGIN PRIVATE KEY----- line", "o2")] + [(6 + i, pem("MIIexample" * 3), f"o{i}") for i in range(2)])
+    got = {r.id: [(s["start"], s["end"], s["verdict"]) for s in r.spans if s["kind"] == "block"] for r in secrets.scan(rows).collect()}
+    assert all(got[i] == [(4, 4 + len(pem(k)), "owner_specific")] for i, k in enumerate(keys)) and got[3] == [(0, len(pem(keys[0], "")), "owner_specific")]
+    assert got[4] == [(0, len(cut) - len(" and no end"), "owner_specific")] and got[5] == got[6] == got[7] == []
+    clean = {r.doc_id: r.text for r in secrets.scrubbed(rows.withColumn("further", F.lit(1)).withColumn("_further", F.lit(2))).collect()}
+    assert clean[0] == "see <block> there" and clean[4] == "<block> and no end" and clean[6] == pem("MIIexample" * 3)
+
+
+def test_verdicts_against_a_plain_count(make):
+    values = [f"ghp_{'Ab1' * 6}{k}" for k in range(5)]
+    rng = random.Random(5)
+    items = [(i, " ".join(rng.choice(values) for _ in range(2)), f"o{rng.randrange(2 + i % 7)}") for i in range(40)] + [(50, None, None), (51, values[0], None)]
+    owners = {}
+    for i, t, o in items:
+        for v in (t or "").split():
+            owners.setdefault(v, set()).add(o or "")
+    for r in secrets.scan(make(items)).collect():
+        text = next(t for i, t, _ in items if i == r.id) or ""
+        assert sorted(text[s["start"] : s["end"]] for s in r.spans) == sorted(v for v in text.split() if len(owners[v]) == 1)
+        assert all((s["n_owners"], s["n_repositories"]) == (1, len({i for i, t, _ in items if text[s["start"] : s["end"]] in (t or "")})) for s in r.spans)
+
+
 def test_edges(make, spark, tmp_path):
     assert secrets.scan(make([])).count() == 0
     rows = make([(1, "token=abcdefgh12", "a"), (1, "token=abcdefgh12", "a")]).withColumn("spans", F.lit(1)).withColumn("value", F.lit("v")).withColumn("row", F.lit(0))
