@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chroma, decontaminate, extract, pieces, pii, quality, repeats, secrets, toxicity
+from . import chroma, decontaminate, extract, oracle, pieces, pii, quality, repeats, secrets, toxicity
 from .common import materialize, table
 from .simhash import near_duplicates
 
@@ -108,4 +108,4 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return oracle.oracle_sql()
