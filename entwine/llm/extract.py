@@ -5,8 +5,8 @@ holds, the hashes of the elements in it included), whatever its name; in Spark e
 the distinct main texts around it, so copies of one page count once. A subtree that recurs around LEAST_TEXTS
 different texts of its host is a template and its parts are deleted: menus, notices, adverts, footers. Of what is
 left, elements that are not text of the page by their name, role or class go too, and the longest article, else
-main, else body gives the text. Paragraphs, headings, list items and inline elements of that text are hashed and
-counted but go only with a container around them: a sentence that many articles share is no template.
+main, else body gives the text. Paragraphs, headings, list items and inline elements of that text are hashed as
+part of what is around them and go only with it: a sentence that many articles share is no template.
 
 A null page is empty; a page without text gives an empty text; a null url is a host of its own. Unclosed,
 misnested and cut-off markup is read as far as it goes. Repeated rows give a row each. An empty table gives an empty result. Other columns are ignored.
@@ -85,19 +85,21 @@ def _unwanted(tag: str, attrs: dict[str, str]) -> bool:
 
 @dataclass
 class Page:
-    """What was read of a page. parts: (block, article, main, ruled, flow, text) of each run of text; article and main
-    number the outermost such element around it (-1: none), ruled says that a rule leaves it out, flow that it stands in
-    a paragraph or the like. elements: (hash, first part, last part, whether it may go by itself)."""
+    """What was read of a page. parts: (block, article, main, flow, text) of each run of text that no rule leaves out;
+    article and main number the outermost such element around it (-1: none), flow says that it stands in a paragraph
+    or the like. elements: (hash, first part, end part) of those with text that may go by themselves. Of elements
+    around the same text the innermost counts: it recurs wherever an outer one does."""
 
-    parts: list[tuple[int, int, int, bool, bool, str]] = field(default_factory=list)
-    elements: list[tuple[int, int, int, bool]] = field(default_factory=list)
+    parts: list[tuple[int, int, int, bool, str]] = field(default_factory=list)
+    elements: list[tuple[int, int, int]] = field(default_factory=list)
 
 
 @dataclass(slots=True)
 class _Open:
     tag: str
     digest: object
-    first: int
+    first: int  # parts and runs of text before it
+    runs: int
     ruled: bool
     article: int
     main: int
@@ -108,7 +110,8 @@ class _Open:
 def read(page: str) -> Page:
     out = Page()
     stack: list[_Open] = []
-    block = articles = mains = paragraphs = headings = 0
+    block = articles = mains = paragraphs = headings = runs = 0
+    inner = (-1, -1)  # the runs of text in the element that was listed last
     blank = True  # the block has no text yet
 
     def flush() -> None:
@@ -117,7 +120,7 @@ def read(page: str) -> Page:
             block, blank = block + 1, True
 
     def pop_to(depth: int) -> None:
-        nonlocal paragraphs, headings
+        nonlocal paragraphs, headings, inner
         while len(stack) > depth:
             e = stack.pop()
             if e.tag not in INLINE:
@@ -127,21 +130,23 @@ def read(page: str) -> Page:
             digest = e.digest.digest()
             if stack:
                 stack[-1].digest.update(b"<" + digest)
-            if len(out.parts) > e.first:
-                out.elements.append((int.from_bytes(digest, "little", signed=True), e.first, len(out.parts) - 1, e.ruled or e.tag not in PROSE))
+            if runs > e.runs and (e.ruled or e.tag not in PROSE) and inner != (e.runs, runs):
+                out.elements.append((int.from_bytes(digest, "little", signed=True), e.first, len(out.parts)))
+                inner = (e.runs, runs)
 
     def add(raw: str) -> None:
-        nonlocal blank
+        nonlocal blank, runs
         text = _SPACES.sub(" ", entities.unescape(raw))
         if not text or (blank and text == " "):
             return
         if stack:
             e = stack[-1]
             e.digest.update(b">" + text.strip().encode("utf-8", "surrogatepass"))
-            out.parts.append((block, e.article, e.main, e.ruled or (e.header and not headings), e.flow, text))
+            if not e.ruled and (headings or not e.header):
+                out.parts.append((block, e.article, e.main, e.flow, text))
         else:
-            out.parts.append((block, -1, -1, False, False, text))
-        blank = False
+            out.parts.append((block, -1, -1, False, text))
+        blank, runs = False, runs + 1
 
     at, n = 0, len(page)
     while at < n:
@@ -196,7 +201,7 @@ def read(page: str) -> Page:
             continue
         if tag not in INLINE:
             flush()
-        up = stack[-1] if stack else _Open("", None, 0, False, -1, -1, False, False)
+        up = stack[-1] if stack else _Open("", None, 0, 0, False, -1, -1, False, False)
         ruled, header, article, main = up.ruled, up.header, up.article, up.main
         if not ruled:
             if tag == "header":
@@ -210,26 +215,26 @@ def read(page: str) -> Page:
         paragraphs += tag == "p"
         headings += tag in HEADINGS
         digest = hashlib.blake2b(f"{tag} {_SPACES.sub(' ', raw_attrs).strip(' /')}".encode("utf-8", "surrogatepass"), digest_size=8)
-        stack.append(_Open(tag, digest, len(out.parts), ruled, article, main, up.flow or tag in FLOW, header))
+        stack.append(_Open(tag, digest, len(out.parts), runs, ruled, article, main, up.flow or tag in FLOW, header))
     pop_to(0)
     return out
 
 
-def blocks(parts: list[tuple[int, int, int, bool, bool, str]], gone: list[tuple[int, int]] = ()) -> list[tuple[str, bool]]:
-    """(text, flow) of the blocks of the main part: parts without those in the spans `gone` and those ruled out, of the
-    longest article with text, else the longest main, else of all."""
+def blocks(parts: list[tuple[int, int, int, bool, str]], gone: list[tuple[int, int]] = ()) -> list[tuple[str, bool]]:
+    """(text, flow) of the blocks of the main part: parts outside the ranges `gone`, of the longest article with text,
+    else the longest main, else of all."""
     lost = np.zeros(len(parts) + 1, np.int64)
-    for first, last in gone:
+    for first, end in gone:
         lost[first] += 1
-        lost[last + 1] -= 1
-    kept = [p for p, k in zip(parts, np.cumsum(lost), strict=False) if not k and not p[3]]
+        lost[end] -= 1
+    kept = [p for p, k in zip(parts, np.cumsum(lost), strict=False) if not k]
     for region in (1, 2, 0):
         found: dict[int, dict[int, list]] = {}
         for p in kept:
             if not region or p[region] >= 0:
                 one = found.setdefault(p[region] if region else 0, {}).setdefault(p[0], [[], False])
-                one[0].append(p[5])
-                one[1] = one[1] or p[4]
+                one[0].append(p[4])
+                one[1] = one[1] or p[3]
         texts = [[(t, flow) for t, flow in ((" ".join("".join(x).split()), flow) for x, flow in by.values()) if t] for by in found.values()]
         best = max(texts, key=lambda b: sum(len(t) for t, _ in b), default=[])
         if best:
@@ -244,10 +249,10 @@ def host(url: str | None) -> str:
         return ""
 
 
-_PART = pa.struct([("block", pa.int32()), ("article", pa.int32()), ("main", pa.int32()), ("ruled", pa.bool_()), ("flow", pa.bool_()), ("text", pa.string())])
-_ELEMENT = pa.struct([("hash", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("alone", pa.bool_()), ("most", pa.bool_())])
-_PARTS = "array<struct<block:int,article:int,main:int,ruled:boolean,flow:boolean,text:string>>"
-_ELEMENTS = "array<struct<hash:bigint,first:int,last:int,alone:boolean,most:boolean>>"
+_PART = pa.struct([("block", pa.int32()), ("article", pa.int32()), ("main", pa.int32()), ("flow", pa.bool_()), ("text", pa.string())])
+_ELEMENT = pa.struct([("hash", pa.int64()), ("first", pa.int32()), ("end", pa.int32()), ("most", pa.bool_())])
+_PARTS = "array<struct<block:int,article:int,main:int,flow:boolean,text:string>>"
+_ELEMENTS = "array<struct<hash:bigint,first:int,end:int,most:boolean>>"
 
 
 def _described(page: str | None) -> tuple[Page, int, list[dict]]:
@@ -256,9 +261,9 @@ def _described(page: str | None) -> tuple[Page, int, list[dict]]:
     main = blocks(one.parts)
     prose = [t for t, flow in main if flow] or [t for t, _ in main]
     digest = int.from_bytes(hashlib.blake2b("\n".join(prose).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-    size = np.concatenate([[0], np.cumsum([0 if p[3] else len(p[5]) for p in one.parts])])
+    size = np.concatenate([[0], np.cumsum([len(p[4]) for p in one.parts])])
     total = sum(len(t) for t, _ in main)
-    return one, digest, [{"hash": h, "first": a, "last": b, "alone": alone, "most": bool(size[b + 1] - size[a] > MOST_OF_PAGE * total)} for h, a, b, alone in one.elements]
+    return one, digest, [{"hash": h, "first": a, "end": b, "most": bool(size[b] - size[a] > MOST_OF_PAGE * total)} for h, a, b in one.elements]
 
 
 def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -291,15 +296,15 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     elements were deleted as templates."""
     found = materialize(parsed(pages, id_col, url_col, html_col))
     known = materialize(templates(found))
-    held = found.select("row", "site", F.explode(F.filter("elements", lambda e: e["alone"])).alias("e")).select("row", "site", "e.hash", "e.first", "e.last")
-    gone = held.join(known, ["site", "hash"]).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("gone"))
+    held = found.select("row", "site", F.explode("elements").alias("e")).select("row", "site", "e.hash", "e.first", "e.end")
+    gone = held.join(known, ["site", "hash"]).groupBy("row").agg(F.collect_list(F.struct("first", "end")).alias("gone"))
     joined = found.select("row", "id", "url", "parts").join(gone, "row", "left").select("id", "url", "parts", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, len(batch), 128):
                 part = batch.slice(k, 128)
-                spans = [[(g["first"], g["last"]) for g in x or ()] for x in part.column(3).to_pylist()]
+                spans = [[(g["first"], g["end"]) for g in x or ()] for x in part.column(3).to_pylist()]
                 texts = ["\n".join(t for t, _ in blocks([tuple(p.values()) for p in x], s)) for x, s in zip(part.column(2).to_pylist(), spans, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(s) for s in spans], pa.int32())], ["id", "url", "text", "n_templates"])
 

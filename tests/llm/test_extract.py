@@ -66,12 +66,12 @@ def test_every_page_against_a_plain_count_of_its_host(spark):
     around = defaultdict(set)
     for r in rows:
         parts, total = read[r.page_id].parts, sum(map(len, main_of(read[r.page_id])))
-        for h, a, b, _ in read[r.page_id].elements:
-            if sum(len(p[5]) for p in parts[a : b + 1] if not p[3]) <= X.MOST_OF_PAGE * total:
+        for h, a, b in read[r.page_id].elements:
+            if sum(len(p[4]) for p in parts[a:b]) <= X.MOST_OF_PAGE * total:
                 around[X.host(r.url), h].add(shown[r.page_id])
     want = {}
     for r in rows:
-        gone = {k for h, a, b, alone in read[r.page_id].elements if alone and len(around[X.host(r.url), h]) >= X.LEAST_TEXTS for k in range(a, b + 1)}
+        gone = {k for h, a, b in read[r.page_id].elements if len(around[X.host(r.url), h]) >= X.LEAST_TEXTS for k in range(a, b)}
         want[r.page_id] = "\n".join(t for t, _ in X.blocks([p for k, p in enumerate(read[r.page_id].parts) if k not in gone]))
     got = X.extract(pages).collect()
     assert {r.id: r.text for r in got} == want and sum(r.n_templates > 0 for r in got) > 0
