@@ -6,7 +6,8 @@ a fixed number of cells. A class covariance is shrunk towards the pooled one and
 its Cholesky factor is inverted once on the driver, and a text's score is the logistic of the difference of
 the two Mahalanobis log-densities plus the log prior odds.
 
-Null and empty texts are texts without words: all their statistics are 0, and they get a score like any other.
+Null and empty texts are texts without words: all their statistics are 0, which lies far from ordinary texts, and they
+meet the densities with the weight of a text of one word.
 Rows without a label train nothing; without a labelled row of either class every score is the share of good
 rows (0.5 if there is none). Repeated rows are scored alike. Other columns are ignored.
 """
@@ -157,7 +158,7 @@ class Discriminant:
             return np.full(len(x), self.n[1] / sum(self.n.values()) if sum(self.n.values()) else 0.5)
         density = {c: -0.5 * (((x - self.mean[c]) @ self.inverse[c].T) ** 2).sum(axis=1) - self.log_det[c] for c in (0, 1)}
         words = np.expm1(x[:, 0])
-        weight = words / (words + EVIDENCE_WORDS) / TEMPERATURE
+        weight = (words + 1) / (words + 1 + EVIDENCE_WORDS) / TEMPERATURE  # a text without words counts as one word
         return 1 / (1 + np.exp(-np.clip((density[1] - density[0]) * weight + self.prior, -40, 40)))
 
 
