@@ -5,10 +5,12 @@ Kneser-Ney model predicts every byte from up to ORDER - 1 bytes before it; only
 by class, and rare expressions fall back on continuation counts that both classes share, so what neither
 class has seen weighs nothing. A word's log-likelihood ratio is the sum over its bytes; a text is scored by
 length-normalised ratios (mean over the text, best window, share of strongly toxic words), turned into a
-probability by a logistic fit on cross-fitted ratios of a bounded sample of labelled rows.
+probability by a logistic fit on cross-fitted ratios of a bounded sample of labelled rows. Its odds are multiplied by
+MISS_COST, since a toxic text that is kept costs more than an ordinary one that goes.
 
-Counts cover every labelled training row. Distinct n-grams are summed in Spark into 2**SLOT_BITS hashed
-slots, which bounds what reaches the driver and the workers at any input size; counts in them grow with it.
+Counts cover every labelled training row. An n-gram of up to ORDER bytes and its length fill one 64-bit integer, so
+all counts are kept by their exact n-grams, without a hash; tables grow with the distinct n-grams of the labelled texts
+(0.5, 0.9 and 1.6 million in 11, 75 and 370 MB of words), and reach the driver packed, some five bytes each.
 
 Null and empty texts count as empty: they have a ratio of 0 and get the score of such a text. Rows without
 a label train nothing. Without a single labelled row of either class the score is 0 and nothing is toxic.
@@ -28,10 +30,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_WORD, WordCache, materialize, mix, powers, span_hashes, spans, string_chunks
+from .common import NON_WORD, WordCache, materialize, mix, span_hashes, spans, string_chunks
 
 ORDER = 7
-SLOT_BITS = 20
 DISCOUNT = 0.75
 WINDOW = 24
 #: Longest spelling of a word that is scored as one expression; longer ones go on in a further expression.
@@ -40,6 +41,7 @@ SPELLING = 48
 #: Labelled rows at most (the first by a hash of the id) on which the logistic layer is fitted.
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.7
+MISS_COST = 4.0
 _FEATURES = 6
 _GROUPS = ("o0", "o1", "t0", "t1")
 #: Words a task holds before it spells them out as n-grams, and words spelt out at once: they bound its memory.
@@ -73,21 +75,72 @@ def _spelt(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
     return out, which, place
 
 
-class _Grams:
-    """Hashes of the n-grams that end at each byte of spelt expressions."""
+_LENGTH = np.uint64(56)
+_BYTE = np.uint64(8)
 
-    def __init__(self, spelt: np.ndarray):
-        self.n = len(spelt)
-        self.up, self.down = powers(self.n + 1)
-        self.total = np.zeros(self.n + 1, np.uint64)
-        np.cumsum(mix(spelt.astype(np.uint64) + np.uint64(977)) * self.up[: self.n], out=self.total[1:])
 
-    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.total[ends] - self.total[starts]) * self.down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+def _grams(spelt: np.ndarray) -> list[np.ndarray]:
+    """By order n from 0 up: the last n bytes before and at each byte as an integer (meaningful within an expression)."""
+    out = [np.zeros(len(spelt), np.uint64)]
+    for _ in range(ORDER):
+        before = np.concatenate([np.zeros(1, np.uint64), out[-1][:-1]]) if len(spelt) else out[-1]
+        out.append(before << _BYTE | spelt)
+    return out
+
+
+def _key(n: int | np.ndarray, value: np.ndarray) -> np.ndarray:
+    """An n-gram as one integer: its length in the first byte, then its bytes."""
+    return np.asarray(n, np.uint64) << _LENGTH | value
+
+
+def _cut(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The context (all but the last byte) and the suffix (all but the first) of n-grams, and the suffix's context
+    (empty where there is none)."""
+    n, one = keys >> _LENGTH, np.uint64(1)
+    value = keys & ((one << _LENGTH) - one)
+    suffix = value & ((one << (_BYTE * (np.maximum(n, one) - one))) - one)
+    return _key(n - one, value >> _BYTE), _key(n - one, suffix), _key(np.maximum(n, np.uint64(2)) - np.uint64(2), suffix >> _BYTE)
+
+
+def _top(keys: np.ndarray) -> np.ndarray:
+    """Whether n-grams are of the highest order where they stand: of ORDER bytes, or from the edge mark on."""
+    n = keys >> _LENGTH
+    return (n == ORDER) | ((keys >> (_BYTE * (np.maximum(n, np.uint64(1)) - np.uint64(1)))) & np.uint64(255) == 1)
+
+
+class _Table:
+    """Values by 64-bit keys, found by a bucket of the mixed key and a comparison of the whole key."""
+
+    def __init__(self, keys: np.ndarray, *values: np.ndarray):
+        bits = max(4, int(len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        bucket = (mix(keys) >> self.shift).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        self.keys, self.values = keys[order], [v[order].astype(np.float32) for v in values]
+        self.start = np.searchsorted(bucket[order], np.arange((1 << bits) + 1)).astype(np.int32)
+
+    def get(self, keys: np.ndarray) -> list[np.ndarray]:
+        """For each of the values an array, 0 where there is no key."""
+        bucket = (mix(keys) >> self.shift).astype(np.int64)
+        at, end = self.start[bucket].astype(np.int64), self.start[bucket + 1]
+        where = np.full(len(keys), -1, np.int64)
+        open_ = np.flatnonzero(at < end)
+        while len(open_):
+            hit = self.keys[at[open_]] == keys[open_]
+            where[open_[hit]] = at[open_[hit]]
+            open_ = open_[~hit]
+            at[open_] += 1
+            open_ = open_[at[open_] < end[open_]]
+        found = where >= 0
+        return [np.where(found, v[where] if len(v) else 0, 0) for v in self.values]
 
 
-def _slot(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, in order, with the sums of its rows of counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts, first, axis=0) if len(first) else counts
 
 
 class _Words:
@@ -118,38 +171,38 @@ class _Words:
         return flat, starts[first], (starts + size)[first], total
 
 
-def _grams_of(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The distinct n-grams of each order: a hash; in one long the slots of its context, of its suffix and of
-    the suffix's context, whether it is of the highest order, and whether it has a suffix; its counts."""
+def _grams_of(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of all orders, with the counts of those of the highest order (the others: 0)."""
     spelt, which, place = _spelt(buf, starts, ends)
-    grams, ok = _Grams(spelt), np.flatnonzero(place > 0)
+    grams, keys, sums = _grams(spelt), [], []
     for n in range(1, ORDER + 1):
-        p = ok[place[ok] >= n - 1]
-        if not len(p):
-            continue
-        g, one, back = np.unique(grams.hashes(p - n + 1, p + 1), return_index=True, return_inverse=True)
-        q, word = p[one], which[p]
-        top = (place[q] == n - 1) | (n == ORDER)
-        meta = _slot(grams.hashes(q - n + 1, q)).astype(np.int64)
-        if n > 1:
-            meta |= _slot(grams.hashes(q - n + 2, q + 1)).astype(np.int64) << 20 | _slot(grams.hashes(q - n + 2, q)).astype(np.int64) << 40
-        meta |= top.astype(np.int64) << 60 | np.int64(n > 1) << np.int64(61)
-        sums = [np.where(top, np.bincount(back, weights=counts[word, k], minlength=len(g)), 0).astype(np.int64) for k in range(4)]
-        yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(meta), *map(pa.array, sums)], ["g", "meta", *_GROUPS])
+        p = np.flatnonzero(place >= max(n - 1, 1))
+        k, back = np.unique(_key(n, grams[n][p]), return_inverse=True)
+        total = np.stack([np.bincount(back, weights=counts[which[p], g], minlength=len(k)) for g in range(4)], axis=1).astype(np.int64)
+        keys.append(k)
+        sums.append(np.where(_top(k)[:, None], total, 0))
+    return np.concatenate(keys), np.concatenate(sums)
 
 
 def ngram_sums(train: DataFrame) -> DataFrame:
-    """Sums by slot of what the models need. train: (text, toxic int, fold int)."""
+    """(g, o0, o1, t0, t1): the distinct n-grams and their counts by class and fold. train: (text, toxic int, fold int)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
 
         def spill() -> Iterator[pa.RecordBatch]:
-            if words.n:
-                buf, starts, ends, counts = words.take()
-                for k in range(0, len(starts), _BLOCK_WORDS):
-                    at = slice(k, k + _BLOCK_WORDS)
-                    yield from _grams_of(buf[starts[at].min() : ends[at].max()], starts[at] - starts[at].min(), ends[at] - starts[at].min(), counts[at])
+            if not words.n:
+                return
+            buf, starts, ends, counts = words.take()
+            keys, sums = np.zeros(0, np.uint64), np.zeros((0, 4), np.int64)
+            for k in range(0, len(starts), _BLOCK_WORDS):
+                at = slice(k, k + _BLOCK_WORDS)
+                low, high = starts[at].min(), ends[at].max()
+                more, new = _grams_of(buf[low:high], starts[at] - low, ends[at] - low, counts[at])
+                keys, sums = _summed(np.concatenate([keys, more]), np.concatenate([sums, new]))
+            for k in range(0, len(keys), 100_000):
+                part = slice(k, k + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), *[pa.array(sums[part, g]) for g in range(4)]], ["g", *_GROUPS])
 
         for batch in batches:
             group = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64) * 2 + batch.column(2).to_numpy(zero_copy_only=False)
@@ -159,85 +212,81 @@ def ngram_sums(train: DataFrame) -> DataFrame:
                     yield from spill()
         yield from spill()
 
-    grams = train.mapInArrow(run, "g long, meta long, " + ", ".join(f"{k} long" for k in _GROUPS))
-    grams = grams.groupBy("g", "meta").agg(*[F.sum(k).alias(k) for k in _GROUPS])
-    low = F.lit((1 << SLOT_BITS) - 1).cast("long")
-    grams = grams.select(
-        F.shiftrightunsigned("g", 64 - SLOT_BITS).cast("int").alias("slot"),
-        *[F.shiftrightunsigned("meta", k * 20).bitwiseAND(low).cast("int").alias(name) for k, name in enumerate(("ctx", "suf", "suf_ctx"))],
-        (F.shiftrightunsigned("meta", 60).bitwiseAND(F.lit(1)) == 1).alias("top"),
-        (F.shiftrightunsigned("meta", 61).bitwiseAND(F.lit(1)) == 1).alias("has"),
-        *_GROUPS,
-    )
-    zero = F.lit(0).cast("long")
-
-    def entry(kind: int, at: str, values: list[Column], when: Column) -> Column:
-        return F.when(when, F.struct(F.lit(kind).alias("kind"), F.col(at).alias("slot"), *[v.cast("long").alias(n) for v, n in zip(values, ("a", "b", "c", "d"), strict=True)], *[(F.col(k) > 0).cast("long").alias(f"n{k}") for k in _GROUPS]))
-
-    counts = [F.col(k) for k in _GROUPS]
-    one = [F.lit(1), zero, zero, zero]
-    entries = F.array_compact(F.array(
-        entry(0, "slot", counts, F.col("top")),
-        entry(1, "ctx", counts, F.col("top")),
-        entry(2, "suf", one, F.col("has")),
-        entry(3, "suf_ctx", one, F.col("has")),
-        entry(4, "ctx", one, ~F.col("top")),
-    ))
-    sums = [F.sum(f"e.{k}").alias(k) for k in ("a", "b", "c", "d", *(f"n{k}" for k in _GROUPS))]
-    return grams.select(F.explode(entries).alias("e")).groupBy("e.kind", "e.slot").agg(*sums)
+    return train.mapInArrow(run, "g long, " + ", ".join(f"{k} long" for k in _GROUPS)).groupBy("g").agg(*[F.sum(k).alias(k) for k in _GROUPS])
+
+
+def _collected(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """All n-grams in order and their counts, sent as compressed differences."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0).to_numpy().view(np.uint64)
+            order = np.argsort(keys)
+            counts = np.stack([batch.column(1 + g).to_numpy()[order] for g in range(4)])
+            raw = np.diff(keys[order], prepend=np.uint64(0)).tobytes() + counts.tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([len(keys)], pa.int64()), pa.array([zlib.compress(raw, 6)], pa.binary())], ["n", "packed"])
+
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros((0, 4), np.int64)]
+    for row in grams.mapInArrow(run, "n long, packed binary").toLocalIterator():
+        raw = zlib.decompress(bytes(row["packed"]))
+        keys.append(np.cumsum(np.frombuffer(raw, np.uint64, row["n"])))
+        counts.append(np.frombuffer(raw, np.int64, offset=8 * row["n"]).reshape(4, -1).T)
+    return _summed(np.concatenate(keys), np.concatenate(counts))
 
 
 class Model:
-    """Kneser-Ney tables of both classes: discounted shares by n-gram slot, backoff weights by context slot."""
+    """Kneser-Ney tables of both classes: discounted counts by n-gram, totals and backoff weights by context."""
 
-    def __init__(self, sums: dict[str, np.ndarray], folds: tuple[int, ...] = (0, 1)):
+    def __init__(self, sums: tuple[np.ndarray, np.ndarray], folds: tuple[int, ...] = (0, 1)):
         self.name = uuid.uuid4().hex
-        size = 1 << SLOT_BITS
-        kind, slot = sums["kind"], sums["slot"]
-
-        def dense(k: int, *names: str) -> np.ndarray:
-            out, at = np.zeros(size, np.float32), kind == k
-            out[slot[at]] = sum(sums[n][at] for n in names)
-            return out
-
-        self.share, self.backoff = [], []
-        for cls in "ot":
-            names = [("ab" if cls == "o" else "cd")[f] for f in folds]
-            seen = [f"n{cls}{f}" for f in folds]
-            count, total = dense(0, *names), dense(1, *names)
-            types = np.maximum.reduce([dense(1, s) for s in seen])  # of a context: at least as many in both folds together
-            self.share.append(np.maximum(count - DISCOUNT, 0))
-            self.backoff.append((total, np.minimum(types * DISCOUNT, total)))
-        total, types = dense(3, "a"), dense(4, "a")
-        self.shared = (np.maximum(dense(2, "a") - DISCOUNT, 0), total, np.minimum(types * DISCOUNT, total))
+        keys, counts = sums
+        top = _top(keys)
+        context, suffix, suffix_context = _cut(keys)
+        by_class = np.stack([sum(counts[:, 2 * c + f] for f in folds) for c in (0, 1)], axis=1)
+        seen = top & (by_class.sum(axis=1) > 0)
+        self.share = _Table(keys[seen], *np.maximum(by_class[seen] - DISCOUNT, 0).T)
+        # by context: total and number of different n-grams, of each class
+        ctx, total = _summed(context[seen], np.concatenate([by_class[seen], by_class[seen] > 0], axis=1))
+        self.backoff = _Table(ctx, *total.T)
+        # lower orders: in how many different places n-grams go on, shared by the classes
+        longer = keys >> _LENGTH > 1
+        low, times = _summed(suffix[longer], np.ones((longer.sum(), 1), np.int64))
+        self.lower = _Table(low, np.maximum(times[:, 0] - DISCOUNT, 0))
+        ctx = np.concatenate([suffix_context[longer], context[~top]])
+        ones = np.concatenate([np.repeat([[1, 0]], longer.sum(), axis=0), np.repeat([[0, 1]], (~top).sum(), axis=0)])
+        ctx, total = _summed(ctx, ones)
+        self.shared = _Table(ctx, *total.T)
 
     def ratios(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """log P(expression | toxic) - log P(expression | ordinary)."""
+        out = np.zeros(len(starts))
+        for k in range(0, len(starts), _BLOCK_WORDS):
+            at = slice(k, k + _BLOCK_WORDS)
+            out[at] = self._ratios(buf, starts[at], ends[at])
+        return out
+
+    def _ratios(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         spelt, which, place = _spelt(buf, starts, ends)
-        grams = _Grams(spelt)
+        grams = _grams(spelt)
         p = np.flatnonzero(place > 0)
         low = np.full(len(p), 1 / 256)
         for n in range(1, ORDER):
             at = np.flatnonzero(place[p] >= n)  # what starts with the edge mark is of the highest order there
             q = p[at]
-            total = self.shared[1][(ctx := _slot(grams.hashes(q - n + 1, q)))]
+            total, types = self.shared.get(_key(n - 1, grams[n - 1][q - 1]))
             ok = total > 0
-            at, q, ctx, total = at[ok], q[ok], ctx[ok], total[ok]
-            share = np.minimum(self.shared[0][_slot(grams.hashes(q - n + 1, q + 1))], total)
-            low[at] = np.maximum((share + self.shared[2][ctx] * low[at]) / total, 1e-9)
-        first = np.maximum(p - ORDER + 1, p - place[p])
-        g, ctx = _slot(grams.hashes(first, p + 1)), _slot(grams.hashes(first, p))
-        logs = []
-        for cls in (0, 1):
-            total, weight = self.backoff[cls]
-            t = total[ctx]
-            some = np.maximum(t, 1)
-            logs.append(np.log(np.where(t > 0, (np.minimum(self.share[cls][g], some) + weight[ctx] * low) / some + 1e-9, low)))
+            at, q, total, types = at[ok], q[ok], total[ok], types[ok]
+            low[at] = np.maximum((self.lower.get(_key(n, grams[n][q]))[0] + types * DISCOUNT * low[at]) / total, 1e-9)
+        size = np.minimum(place[p] + 1, ORDER)
+        stack = np.stack(grams)
+        share = self.share.get(_key(size, stack[size, p]))
+        *total, types_o, types_t = self.backoff.get(_key(size - 1, stack[size - 1, p - 1]))
+        logs = [np.log(np.where(t > 0, (s + DISCOUNT * k * low) / np.maximum(t, 1) + 1e-9, low)) for s, t, k in zip(share, total, (types_o, types_t), strict=True)]
         return np.bincount(which[p], weights=logs[1] - logs[0], minlength=len(starts))
 
 
 def _packed(*models: Model) -> tuple[str, bytes]:
-    """Models for a broadcast: the tables are mostly small counts, and a fifth of their size as bytes."""
+    """Models for a broadcast."""
     return models[0].name, zlib.compress(pickle.dumps(models, protocol=5), 1)
 
 
@@ -303,18 +352,12 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int =
     return np.r_[w[0] - slope @ mean, slope]
 
 
-def _sums(train: DataFrame) -> dict[str, np.ndarray]:
-    found = ngram_sums(train).toArrow()
-    return {k: found.column(k).to_numpy() for k in found.column_names}
-
-
 def fit(train: DataFrame) -> tuple[Model, np.ndarray] | None:
     """The models and the logistic weights. train: (id, text, toxic int). None if a class is missing."""
     spark = train.sparkSession
     train = materialize(train.withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(2)).cast("int")))
-    sums = _sums(train.select("text", "toxic", "fold"))
-    top = sums["kind"] == 0
-    if not sum(sums[k][top].sum() for k in "ab") or not sum(sums[k][top].sum() for k in "cd"):
+    sums = _collected(ngram_sums(train.select("text", "toxic", "fold")))
+    if not sums[1][:, :2].sum() or not sums[1][:, 2:].sum():
         return None
     crossed = spark.sparkContext.broadcast(_packed(Model(sums, (1,)), Model(sums, (0,))))  # a fold is scored by the other's counts
 
@@ -330,7 +373,8 @@ def fit(train: DataFrame) -> tuple[Model, np.ndarray] | None:
     found = sample.mapInArrow(run, ", ".join(f"f{k} double" for k in range(_FEATURES)) + ", y int").toArrow()
     crossed.destroy()
     x = np.stack([found.column(k).to_numpy() for k in range(_FEATURES)], axis=1)
-    return Model(sums), fit_logistic(x, found.column("y").to_numpy().astype(float))
+    weights = fit_logistic(x, found.column("y").to_numpy().astype(float))
+    return Model(sums), weights + np.r_[np.log(MISS_COST), np.zeros(_FEATURES)]
 
 
 def scorer(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_filter: Column | None = None):

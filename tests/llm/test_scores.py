@@ -1,6 +1,11 @@
+import math
 import random
+import re
 import zlib
+from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,3 +65,118 @@ def test_quality(make, spark):
     assert all(got[i].good == (i < 40) for i in range(80)) and got[80].score == got[81].score == got[82].score
     clash = make([(1, good[0], "a"), (1, good[0], "a")]).withColumn("words", F.lit(1)).withColumn("good", F.lit(1))
     assert len({r.score for r in quality.score(clash, labels).collect()}) == 1
+
+
+class Plain:
+    """The two Kneser-Ney models with dictionaries of byte strings."""
+
+    def __init__(self, words):  # (word, class)
+        self.top, grams = (Counter(), Counter()), set()
+        for word, c in words:
+            b = b"\1" + word.encode() + b"\2"
+            for p in range(1, len(b)):
+                for n in range(1, toxicity.ORDER + 1):
+                    if p - n + 1 >= 0:
+                        g = b[p - n + 1 : p + 1]
+                        grams.add(g)
+                        if n == toxicity.ORDER or p - n + 1 == 0:
+                            self.top[c][g] += 1
+        self.times, self.total, self.types = Counter(), Counter(), Counter()
+        for g in grams:
+            if len(g) > 1:
+                self.times[g[1:]] += 1
+                self.total[g[1:-1]] += 1
+            if not (len(g) == toxicity.ORDER or g[0] == 1):
+                self.types[g[:-1]] += 1
+        self.by = (defaultdict(list), defaultdict(list))
+        for c in (0, 1):
+            for g, k in self.top[c].items():
+                self.by[c][g[:-1]].append(k)
+
+    def ratio(self, word):
+        b, out, d = b"\1" + word.encode() + b"\2", 0.0, toxicity.DISCOUNT
+        for p in range(1, len(b)):
+            low = 1 / 256
+            for n in range(1, toxicity.ORDER):
+                if p - n + 1 >= 1 and (t := self.total[(ctx := b[p - n + 1 : p])]):
+                    low = max((max(self.times[b[p - n + 1 : p + 1]] - d, 0) + d * self.types[ctx] * low) / t, 1e-9)
+            g = b[max(0, p - toxicity.ORDER + 1) : p + 1]
+            logs = []
+            for c in (0, 1):
+                ks = self.by[c][g[:-1]]
+                logs.append(math.log((max(self.top[c][g] - d, 0) + d * len(ks) * low) / sum(ks) + 1e-9) if ks else math.log(low))
+            out += logs[1] - logs[0]
+        return out
+
+
+def test_models_against_dictionaries(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice(["ab", "c", "é", "xyz", "q", "ünd"]) for _ in range(rng.randrange(1, 6)))
+    texts = [(" ".join(word() for _ in range(30)), i % 2, i // 2 % 2) for i in range(40)]
+    sums = toxicity._collected(toxicity.ngram_sums(spark.createDataFrame(texts, "text string, toxic int, fold int").repartition(3)))
+    probes = [word() for _ in range(60)] + ["unseen", "zz", "a" * 40]
+    buf = np.frombuffer("".join(probes).encode(), np.uint8)
+    size = np.array([len(w.encode()) for w in probes])
+    ends = np.cumsum(size)
+    for folds in ((0, 1), (0,), (1,)):
+        got = toxicity.Model(sums, folds).ratios(buf, ends - size, ends)
+        plain = Plain([(w, c) for t, c, f in texts for w in t.split()])
+        other = Plain([(w, c) for t, c, f in texts if f in folds for w in t.split()])
+        plain.top, plain.by = other.top, other.by  # a fold has its own counts, the lower orders are shared
+        assert np.allclose(got, [plain.ratio(w) for w in probes], atol=2e-3), folds
+
+
+def test_table_finds_only_its_keys():
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << 60, 5000).astype(np.uint64))
+    table = toxicity._Table(keys, np.arange(1, len(keys) + 1))
+    assert (table.get(keys)[0] == np.arange(1, len(keys) + 1)).all() and not table.get(keys + np.uint64(1))[0].any()
+    assert not toxicity._Table(np.zeros(0, np.uint64), np.zeros(0)).get(keys)[0].any()
+
+
+def plain_statistics(t):
+    words = [w for w in re.split("[\t-\r ]+", t) if w]
+    if not words:
+        return [0.0] * len(quality.STATISTICS)
+    low = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in words]
+    letters = [c for c in t if c.isascii() and c.isalpha()]
+    lines = [x for x in re.split("[\n\r]+", t) if x]
+    n, size = len(words), len(t)
+    bare = sum(not any(not c.isascii() or c.isalpha() for c in w) for w in words)
+    return [
+        math.log1p(n), math.log1p(size / n), math.sqrt(sum(c.isupper() for c in letters) / max(len(letters), 1)), math.sqrt(sum(c.isascii() and c > " " and c != "\x7f" and not c.isalnum() and c not in ".,'-" for c in t) / size),
+        math.sqrt(bare / n), math.sqrt(sum(a == b for a, b in zip(low, low[1:], strict=False)) / n), math.log1p(len(set(low))) / math.log1p(n), math.sqrt((len(lines) - len(set(lines))) / max(len(lines), 1)),
+        math.sqrt(sum("0" <= c <= "9" for c in t) / size), math.sqrt(sum(w.endswith(".") for w in words) / n), math.sqrt(max(Counter(low).values()) / n), sum(len(w) <= 3 for w in words) / n, math.log1p(size / max(len(lines), 1)),
+    ]
+
+
+def test_quality_against_plain_densities(make, spark):
+    rng = random.Random(2)
+    good = lambda: " ".join(rng.choice(["Tree", "river", "stone.", "cloud", "grass,", "bird\n", "é9"]) for _ in range(rng.randrange(3, 80)))
+    bad = lambda: " ".join(rng.choice(["TREE!!", "###", "$$$a", "|", "for", "77"]) for _ in range(rng.randrange(3, 80)))
+    texts = [good() if i % 3 else bad() for i in range(120)] + [None, "", " \n "]
+    known = [(i, int(i % 3 > 0)) for i in range(100)]
+    x = np.array([plain_statistics(t or "") for t in texts])
+    assert np.allclose(quality.statistics(pa.array(texts, pa.string())), x)
+    y = np.array([k for _, k in known])
+    own = [np.cov(x[:100][y == c].T, bias=True) for c in (0, 1)]
+    pooled = sum(own[c] * (y == c).sum() for c in (0, 1)) / 100
+    density = []
+    for c in (0, 1):
+        s = (1 - quality.POOLED) * own[c] + quality.POOLED * pooled
+        s = (1 - quality.DIAGONAL) * s + quality.DIAGONAL * np.diag(np.diag(s)) + 1e-4 * np.eye(len(s))
+        d = x - x[:100][y == c].mean(axis=0)
+        density.append(-0.5 * (np.einsum("ij,ij->i", d, np.linalg.solve(s, d.T).T) + np.linalg.slogdet(s)[1]))
+    n = np.expm1(x[:, 0]) + 1
+    z = (density[1] - density[0]) * n / (n + quality.EVIDENCE_WORDS) / quality.TEMPERATURE + math.log(y.sum() / (100 - y.sum()))
+    got = {r.id: r for r in quality.score(make(texts), spark.createDataFrame(known, "doc_id long, quality int")).collect()}
+    assert np.allclose([got[i].score for i in range(len(texts))], 1 / (1 + np.exp(-np.clip(z, -40, 40))), atol=1e-6)
+    assert not any(got[i].good for i in (120, 121, 122))  # a text without words is none of the good ones
+
+
+def test_held_out_toxic_texts_are_caught(spark):
+    d = "/root/testdata/sf0.1"
+    known = {r.doc_id: r.toxic for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    held = [r for r in entry.op10_toxicity(spark, d).collect() if r.held_out and r.doc_id in known]
+    toxic = [r.predicted for r in held if known[r.doc_id]]
+    assert sum(toxic) >= 0.9 * len(toxic) and sum(r.predicted for r in held if not known[r.doc_id]) <= 0.01 * (len(held) - len(toxic))
