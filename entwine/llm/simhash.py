@@ -21,9 +21,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, materialize, mix, spans, string_chunks
+from .common import LOWER, SPACE, materialize, mix, spans, string_chunks, unused
 from .components import connected
 from .xxh64 import xxh64_spans
 
@@ -191,20 +192,28 @@ def _linked(radius: int, words: int, pair_rows: int):
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["src", "dst"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[list[np.ndarray]] = []  # batches of the key that may go on in the next one
 
-        def split(x: list[np.ndarray], at: slice) -> pa.RecordBatch:
-            return found(x[0][at], x[1][at], np.stack([w[at].view(np.uint64) for w in x[2:]], axis=1))
+        def whole() -> pa.RecordBatch:
+            x = [np.concatenate(c) for c in zip(*held, strict=True)]
+            return found(x[0], x[1], np.stack([w.view(np.uint64) for w in x[2:]], axis=1))
 
         for batch in batches:
             new = [batch.column(i).to_numpy() for i in range(2 + words)]
-            held = [np.concatenate(x) for x in zip(held, new, strict=True)] if held else new
-            last = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
-            if last:  # the last key may go on in the next batch
-                yield split(held, slice(0, last))
-                held = [x[last:] for x in held]
-        if held and len(held[0]):
-            yield split(held, slice(0, None))
+            if not len(new[0]):
+                continue
+            last = int(np.searchsorted(new[0], new[0][-1])) if new[0][0] != new[0][-1] else 0
+            if held and (last or held[-1][0][-1] != new[0][0]):
+                held.append([x[:last] for x in new])
+                yield whole()
+                held = []
+            elif last:
+                held = [[x[:last] for x in new]]
+                yield whole()
+                held = []
+            held.append([x[last:] for x in new])
+        if held:
+            yield whole()
 
     return run
 
@@ -286,10 +295,9 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found()
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
-    """(id, component): the smallest id reachable over links between texts whose sets of word shingles have a
-    Jaccard similarity of 0.8 or more. Min-hashes find the candidates, the sets decide. Ids are unique; null
-    ids are left out."""
+def _groups(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(id, th, root, component) of the rows with an id: a hash of the text, the number of the group of similar texts,
+    and its smallest id."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,7 +305,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
             for hashes, offs in _sets(batch.column(1), width):
                 n = len(offs) - 1
                 keys = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(_band_keys(hashes, offs).view(np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(_digests(hashes, offs), pa.binary()), keys], ["id", "digest", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), batch.column(2).slice(at, n), pa.array(_digests(hashes, offs), pa.binary()), keys], ["id", "th", "digest", "keys"])
                 at += n
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +315,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
                 n = len(offs) - 1
                 ids, digests, keys = (batch.column(k).slice(at, n).to_pylist() for k in (0, 2, 3))
                 for i, digest in enumerate(_digests(hashes, offs)):
-                    if digest == digests[i]:  # of rows of one id, that of the class
+                    if digest == digests[i]:  # of rows of one id, those of the class
                         one = hashes[offs[i] : offs[i + 1]].tobytes()
                         for k in range(0, len(keys[i]), 8):
                             some = keys[i][k : k + 8]
@@ -315,23 +323,41 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
                 at += n
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
-    made = materialize(rows.mapInArrow(keyed, "id long, digest binary, keys array<long>"))
-    classes = materialize(made.groupBy("digest").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")))
+    made = materialize(rows.select("id", "text", F.xxhash64("text").alias("th")).mapInArrow(keyed, "id long, th long, digest binary, keys array<long>"))
+    classes = made.groupBy("digest").agg(F.min("id").alias("least"), F.first("keys").alias("keys")).withColumn("rep", F.monotonically_increasing_id())
+    classes = materialize(classes)
     pairs = classes.select("rep", "digest", F.explode("keys").alias("key"))
     # A key of one class links nothing, and of keys with the same classes one is enough.
     held = pairs.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("which")).filter("n > 1")
     held = held.groupBy("n", "which").agg(F.min("key").alias("key"))
     wanted = materialize(pairs.join(held, "key").groupBy("rep", "digest").agg(F.collect_list("key").alias("keys")))
-    sets = rows.join(wanted.withColumnRenamed("rep", "id"), "id").select("id", "text", "digest", "keys").mapInArrow(spread, "key long, rep long, shingles binary")
-    found = sets.repartition(F.col("key")).sortWithinPartitions("key").mapInArrow(_verified, "src long, dst long").distinct()
-    members = connected(found)
-    root = classes.join(members.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("component"))
-    return made.select("id", "digest").join(root, "digest", "left").select("id", "component")
+    # One text of each class is spelt out: of those of its smallest id, all of which have the same set or are told apart.
+    owners = classes.select("rep", F.col("least").alias("id")).join(wanted, "rep")
+    sets = rows.join(owners, "id").select("rep", "text", "digest", "keys").mapInArrow(spread, "key long, rep long, shingles binary")
+    found = sets.repartition(F.col("key")).sortWithinPartitions("key", "rep").mapInArrow(_verified, "src long, dst long").distinct()
+    members = materialize(classes.select("rep", "digest", "least").join(connected(found).withColumnRenamed("node", "rep"), "rep", "left").select("digest", "least", F.coalesce("root", "rep").alias("root")))
+    root = members.join(members.groupBy("root").agg(F.min("least").alias("component")), "root").select("digest", "root", "component")
+    return made.select("id", "th", "digest").join(root, "digest", "left").select("id", "th", "root", "component")
+
+
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
+    """(id, component): for each row with an id the smallest id reachable over links between texts whose sets of word
+    shingles have a Jaccard similarity of 0.8 or more. Min-hashes find the candidates, the sets decide."""
+    return _groups(docs, id_col, text_col, width).select("id", "component")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
-    """docs with one row (the smallest id) of each group of similar texts. Rows without an id stay; of rows of
-    one id one stays."""
-    gone = similar(docs, id_col, text_col, width).filter("id <> component").select(F.col("id").alias(id_col)).distinct()
-    with_id = docs.filter(F.col(id_col).isNotNull()).join(materialize(gone), id_col, "left_anti").dropDuplicates([id_col])
-    return with_id.select(docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
+    """docs with one row (the smallest id) of each group of similar texts. Rows without an id stay. Rows of one id whose
+    texts are not similar stay; of those that are, the first by text and then by the other columns stays."""
+    found = materialize(_groups(docs, id_col, text_col, width))
+    gid, gth, groot, order = (unused(docs, n) for n in ("gone_id", "gone_text", "root", "order"))
+    th = F.xxhash64(F.col(text_col).cast("string"))
+    gone = materialize(found.filter("id <> component").select(F.col("id").alias(gid), F.col("th").alias(gth)).distinct())
+    again = found.filter("id = component").groupBy("id", "root").agg(F.count("*").alias("n")).filter("n > 1").select("id", "root")
+    again = materialize(found.join(again, ["id", "root"]).select(F.col("id").alias(gid), F.col("th").alias(gth), F.col("root").alias(groot)).distinct())
+    same = (F.col(id_col).cast("long") == F.col(gid)) & (th == F.col(gth))
+    some = docs.filter(F.col(id_col).isNotNull())
+    once = some.join(gone.unionByName(again.select(gid, gth)), same, "left_anti")
+    ranked = some.join(again, same).withColumn(order, F.row_number().over(W.partitionBy(gid, groot).orderBy(text_col, *[F.xxhash64(F.col(c)) for c in docs.columns])))
+    first = ranked.filter(F.col(order) == 1).select(docs.columns)
+    return once.select(docs.columns).unionByName(first).unionByName(docs.filter(F.col(id_col).isNull()))
