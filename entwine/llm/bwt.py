@@ -4,8 +4,8 @@ Symbols are groups of STEP bytes, so a byte string gives STEP symbol strings (on
 an end mark that sorts first. A shard's transform lists the symbol before each of its sorted suffixes. Shards
 are merged by their transforms alone: the interleave says from which shard each merged suffix comes, in the
 order of the first h symbols; one pass over the transforms deals it by the symbols in front, which gives the
-order by h + 1. Where the dealt runs divide, the common prefix is h symbols long; runs that are still whole
-after DEPTH rounds are intervals of suffixes with DEPTH symbols in common. No suffix is sorted again.
+order by h + 1. Where the dealt runs divide, the common prefix is h symbols long; stretches of common prefixes of
+DEPTH symbols or more are intervals of suffixes that repeat them. No suffix is sorted again.
 """
 
 from __future__ import annotations
@@ -47,9 +47,8 @@ class Shard:
         self.transform = np.where(first, 0, symbols[np.maximum(self.suffixes - STEP, 0)])
 
 
-def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Suffixes in merged order, the number of each one's run after `depth` rounds, and its common prefix in
-    symbols with the suffix before it (at most depth)."""
+def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in merged order, and each one's common prefix in symbols with the suffix before it (at most depth)."""
     kind = np.uint8 if len(shards) < 256 else np.uint16
     z = np.concatenate([np.full(len(s.suffixes), k, kind) for k, s in enumerate(shards)])
     transforms = np.concatenate([s.transform for s in shards])
@@ -70,7 +69,7 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.n
         run = np.cumsum(new)
     suffixes = np.empty(len(z), np.int64)
     suffixes[np.argsort(z, kind="stable")] = np.concatenate([s.suffixes for s in shards])
-    return suffixes, run, prefix
+    return suffixes, prefix
 
 
 def repeated(strings: list[bytes], weights: np.ndarray, length: int) -> list[np.ndarray]:
@@ -97,7 +96,9 @@ def repeated(strings: list[bytes], weights: np.ndarray, length: int) -> list[np.
             cuts.append(low)
     longest = int(size.max()) // STEP + 1
     shards = [Shard(symbols, begins, a, b, longest) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    suffixes, run, _ = merge(shards, length // STEP)
+    depth = length // STEP
+    suffixes, prefix = merge(shards, depth)
+    run = np.cumsum(prefix < depth)  # suffixes in one interval have depth symbols in common
     heavy = np.bincount(run, weights=weights[which[suffixes]]) >= 2
     hit = np.zeros(n, bool)
     hit[suffixes] = heavy[run]

@@ -13,7 +13,8 @@ have equal anchors, so the corpus falls apart into buckets by anchor that never
    interleave refinement, and the runs of LENGTH common bytes that hold two places or more are the repeats.
 4. The repeated places go back to the texts, are joined into spans there, and the rest is kept.
 
-Texts of which there are exact copies are repeated as a whole; their copies count once in steps 1 to 3.
+Texts of which there are exact copies, by 128 bits, are repeated as a whole; their copies count once in steps 1 to 3,
+where 64 bits tell texts apart (a chance equality could only matter between two texts that share a passage).
 
 Texts are UTF-8 bytes; a null text is empty. Matches never cross texts. Texts under LENGTH bytes lose nothing.
 Repeated rows (same id and text) are copies of each other. Windows are judged on the input. An empty table
@@ -155,7 +156,7 @@ def repeated_places(counted: DataFrame) -> DataFrame:
     span = pa.struct([("a", pa.int32()), ("b", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, bytes, int]] = []
+        held: list[tuple[int, str, bytes, int]] = []
         size = 0
 
         def block() -> Iterator[pa.RecordBatch]:
@@ -171,7 +172,7 @@ def repeated_places(counted: DataFrame) -> DataFrame:
                     cut = np.flatnonzero(np.diff(places) > 1)
                     rows.append((bucket, name, [{"a": int(a), "b": int(b) + 1} for a, b in zip(places[np.r_[0, cut + 1]], places[np.r_[cut, len(places) - 1]], strict=True)]))
             cols = list(zip(*rows, strict=True)) if rows else [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(span))], ["bucket", "name", "places"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.list_(span))], ["bucket", "name", "places"])
 
         for batch in batches:
             for bucket, name, piece, weight in zip(*[batch.column(k).to_pylist() for k in range(4)], strict=True):
@@ -184,21 +185,21 @@ def repeated_places(counted: DataFrame) -> DataFrame:
             yield from block()
 
     dealt = counted.repartition(F.col("bucket")).sortWithinPartitions("bucket")
-    return dealt.select("bucket", "name", "piece", "weight").mapInArrow(run, "bucket long, name long, places array<struct<a:int,b:int>>")
+    return dealt.select("bucket", "name", "piece", "weight").mapInArrow(run, "bucket long, name string, places array<struct<a:int,b:int>>")
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, starts array<struct<a, b>>): for each (id, hash of text) with repeats, where repeated windows start."""
     texts = _texts(docs, id_col, text_col)
-    found = materialize(pieces(texts, marked_anchors(texts))).withColumn("name", F.xxhash64("piece"))
+    found = materialize(pieces(texts, marked_anchors(texts))).withColumn("name", F.md5("piece"))
     place = F.struct("th", "start")
     counted = found.groupBy("bucket", "name", "piece").agg(F.when(F.min(place) == F.max(place), 1).otherwise(2).alias("weight"))
     places = materialize(repeated_places(counted))
     own = found.select("id", "th", "start", "bucket", "name").distinct().join(places, ["bucket", "name"])
     some = own.select("id", "th", F.explode(F.transform("places", lambda p: F.struct((F.col("start") + p["a"]).alias("a"), (F.col("start") + p["b"]).alias("b")))).alias("s"))
-    keys = texts.select("id", "th", F.octet_length("text").alias("n")).filter(F.col("n") >= LENGTH)
-    copied = materialize(keys.groupBy("th").agg(F.count("*").alias("copies")).filter("copies > 1"))
-    whole = keys.join(copied, "th").select("id", "th", F.struct(F.lit(0).cast("long").alias("a"), (F.col("n") - LENGTH + 1).cast("long").alias("b")).alias("s")).distinct()
+    keys = texts.select("id", "th", F.octet_length("text").alias("n"), F.md5("text").alias("name")).filter(F.col("n") >= LENGTH)
+    copied = materialize(keys.groupBy("name").agg(F.count("*").alias("copies")).filter("copies > 1"))
+    whole = keys.join(copied, "name").select("id", "th", F.struct(F.lit(0).cast("long").alias("a"), (F.col("n") - LENGTH + 1).cast("long").alias("b")).alias("s")).distinct()
     return some.unionByName(whole).groupBy("id", "th").agg(F.array_sort(F.collect_list("s")).alias("starts"))
 
 

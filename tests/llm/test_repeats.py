@@ -32,23 +32,22 @@ def test_merged_transforms(monkeypatch, shard):
     assert [x.tolist() for x in bwt.repeated(strings, weights, 40)] == places(strings, weights, 40)
 
 
-def test_common_prefixes():
-    strings = [b"abcdefgh" * 3, b"abcdefgh" * 2 + b"ABCDEFGH"]
-    symbols = np.array([1, 1, 1, 0, 1, 1, 2, 0])  # two strings of symbols, each with its end mark
-    assert strings[0][:16] == strings[1][:16]
-    monkey = bwt.STEP
-    try:
-        bwt.STEP = 1
-        begins = np.array([0, 0, 0, 0, 4, 4, 4, 4])
-        shards = [bwt.Shard(symbols, begins, 0, 4, 4), bwt.Shard(symbols, begins, 4, 8, 4)]
-        order, _, prefix = bwt.merge(shards, 3)
-    finally:
-        bwt.STEP = monkey
-    tails = ["".join("$ab"[s] for s in symbols[i : (i // 4 + 1) * 4]) for i in order]
-    assert tails == sorted(tails)
-    shared = [next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b))) for a, b in zip(tails, tails[1:], strict=False)]
-    assert [p for p, s in zip(prefix[1:].tolist(), shared, strict=True) if s < 3 and not tails] == []
-    assert all(p == s or "$" in tails[i + 1][: s + 1] for i, (p, s) in enumerate(zip(prefix[1:].tolist(), shared, strict=True)))
+def test_common_prefixes(monkeypatch):
+    monkeypatch.setattr(bwt, "STEP", 1)
+    rng = random.Random(11)
+    for _ in range(30):
+        strings = [[rng.randrange(1, 3) for _ in range(rng.randrange(1, 9))] for _ in range(rng.randrange(2, 7))]
+        symbols = np.array([x for s in strings for x in [*s, 0]])
+        edges = np.cumsum([0, *[len(s) + 1 for s in strings]])
+        begins = np.repeat(edges[:-1], np.diff(edges))
+        shards = [bwt.Shard(symbols, begins, a, b, 9) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        order, prefix = bwt.merge(shards, 4)
+        end = np.repeat(edges[1:], np.diff(edges))
+        tails = [tuple(symbols[i : end[i]].tolist()) for i in order]
+        assert [t[:4] for t in tails] == sorted(t[:4] for t in tails) and sorted(order.tolist()) == list(range(len(symbols)))
+        for (a, b), p in zip(zip(tails, tails[1:], strict=False), prefix[1:].tolist(), strict=True):
+            shared = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+            assert min(shared, 4) == min(p, shared, 4) and (p == min(shared, 4) or 0 in b[: shared + 1])
 
 
 def brute(texts):
