@@ -55,15 +55,26 @@ def block_sizes(targets: DataFrame) -> DataFrame:
     return postings(targets).groupBy("rule", "key").agg(F.count("*").alias("size"))
 
 
+def pruned(keys: DataFrame, max_block: int = MAX_BLOCK, by: tuple[str, ...] = ("rule", "key")) -> DataFrame:
+    """keys without the rows of blocks of more than max_block rows; the blocks are counted before any join."""
+    small = keys.groupBy(*by).agg(F.count("*").alias("size")).filter(F.col("size") <= max_block).select(*by)
+    return keys.join(small, list(by), "left_semi")
+
+
+def rule_hits(s1: DataFrame, targets: DataFrame, rule: int, max_block: int = MAX_BLOCK) -> DataFrame:
+    """(s1_entity_id, target_entity_id): the distinct pairs that one rule finds."""
+    kept = pruned(postings(targets).filter(F.col("rule") == rule), max_block).select("key", F.col("entity_id").alias("target_entity_id")).distinct()
+    probe = postings(s1, probe=True).filter(F.col("rule") == rule).select(F.col("entity_id").alias("s1_entity_id"), "key").distinct()
+    return probe.join(kept, "key").select("s1_entity_id", "target_entity_id").distinct()
+
+
 def candidates(s1: DataFrame, targets: DataFrame, max_candidates: int = MAX_CANDIDATES, max_block: int = MAX_BLOCK) -> DataFrame:
     """(s1_entity_id, target_entity_id, target_source, rules, num_rules, rank): the targets that share a key.
 
     Blocks over max_block are dropped before the join, so no key brings an S1 entity more rows than that. Of an
     entity's candidates the first max_candidates stay: more rules first, then the earlier first rule and token,
     then S2 before S3 and the smaller id."""
-    keys = postings(targets)
-    small = keys.groupBy("rule", "key").agg(F.count("*").alias("size")).filter(F.col("size") <= max_block).select("rule", "key")
-    kept = keys.join(small, ["rule", "key"], "left_semi").select("rule", "key", F.col("entity_id").alias("target_entity_id")).distinct()
+    kept = pruned(postings(targets), max_block).select("rule", "key", F.col("entity_id").alias("target_entity_id")).distinct()
     hits = postings(s1, probe=True).withColumnRenamed("entity_id", "s1_entity_id").join(kept, ["rule", "key"])
     pairs = hits.groupBy("s1_entity_id", "target_entity_id").agg(F.array_sort(F.collect_set("rule")).alias("numbers"), F.min(F.struct("rule", "pos")).alias("first"))
     source = F.when(F.upper("target_entity_id").contains("S2"), "S2").otherwise("S3")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -92,20 +93,39 @@ def missed_pairs(truth: DataFrame, pairs: DataFrame) -> DataFrame:
     return truth.select(key).distinct().join(pairs.select(key), key, "left_anti")
 
 
+def missed_sample(truth: DataFrame, pairs: DataFrame, most: int = 20) -> DataFrame:
+    """(s1_entity_id, target_entity_id, target_source, total): the first missed pairs by their ids, and how many there are."""
+    missed = missed_pairs(truth, pairs)
+    upper = F.upper("target_entity_id")
+    source = F.when(upper.contains("S2"), "S2").when(upper.contains("S3"), "S3").otherwise("OTHER")
+    first = missed.orderBy("s1_entity_id", "target_entity_id").limit(most).withColumn("target_source", source)
+    return first.crossJoin(F.broadcast(missed.agg(F.count("*").alias("total"))))
+
+
 def threshold_grid(scored: DataFrame, entities: DataFrame, truth: DataFrame, start: float = 0.20, end: float = 0.95, step: float = 0.02, beta: float = 0.5) -> DataFrame:
-    """(threshold, macro_f_beta, macro_precision, macro_recall): all thresholds in one pass. A pair counts from the
-    threshold steps its score reaches; counts by entity and step are summed from the top down."""
-    points = round((end - start) / step) + 1
-    grid = entities.sparkSession.range(points).select((F.col("id")).cast("int").alias("k"), F.round(F.lit(start) + F.col("id") * step, 4).alias("threshold"))
+    """(threshold, macro_f_beta, macro_precision, macro_recall): all thresholds in one pass. Each pair counts once, at
+    the highest threshold that its score reaches. An entity's figures change only there, so it gives a row of changes
+    for each such threshold, and the changes of all entities are summed from the top down over the few thresholds."""
+    points = [round(start + k * step, 4) for k in range(round((end - start) / step) + 1)]
     key = ["s1_entity_id", "target_entity_id"]
     t = truth.select(key).distinct().withColumn("t", F.lit(1))
+    ids = entities.select("s1_entity_id").distinct()
+    known = ids.join(t.groupBy("s1_entity_id").agg(F.count("*").alias("n_true")), "s1_entity_id", "left").select("s1_entity_id", F.coalesce("n_true", F.lit(0)).alias("n_true"))
     best = scored.groupBy(key).agg(F.max("score").alias("score")).join(t, key, "left")
-    reached = best.join(F.broadcast(grid), F.col("score") >= F.col("threshold")).groupBy("s1_entity_id", "k").agg(F.count("*").alias("n_pred"), F.count("t").alias("tp"))
-    per = entities.select("s1_entity_id").distinct().join(truth.select(key).distinct().groupBy("s1_entity_id").agg(F.count("*").alias("n_true")), "s1_entity_id", "left").crossJoin(F.broadcast(grid))
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    rows = per.join(reached, ["s1_entity_id", "k"], "left").select("threshold", zero("n_true"), zero("n_pred"), zero("tp"))
-    p, r, f = _scores(beta)
-    return rows.groupBy("threshold").agg(F.avg(f).alias("macro_f_beta"), F.avg(p).alias("macro_precision"), F.avg(r).alias("macro_recall"))
+    reached = F.size(F.filter(F.array(*[F.lit(x) for x in points]), lambda x: F.col("score") >= x)) - 1
+    steps = best.withColumn("k", reached).filter("k >= 0").groupBy("s1_entity_id", "k").agg(F.count("*").alias("n"), F.count("t").alias("hits")).join(known, "s1_entity_id")
+    down = W.partitionBy("s1_entity_id").orderBy(F.desc("k"))
+    so_far = down.rowsBetween(W.unboundedPreceding, W.currentRow)
+    named = dict(zip(("p", "r", "f"), _scores(beta), strict=True))
+    here = steps.withColumns({"n_pred": F.sum("n").over(so_far), "tp": F.sum("hits").over(so_far)}).select("s1_entity_id", "k", "n_true", *[c.alias(n) for n, c in named.items()])
+    silent = (F.col("n_true") == 0).cast("double")  # what an entity without predictions scores
+    changes = here.select("k", *[(F.col(n) - F.coalesce(F.lag(n).over(down), silent)).alias(n) for n in named]).groupBy("k").agg(*[F.sum(n).alias(n) for n in named])
+    total = known.agg(F.count("*").alias("n"), F.coalesce(F.sum(silent), F.lit(0.0)).alias("silent"))
+    grid = entities.sparkSession.createDataFrame(list(enumerate(points)), "k int, threshold double")
+    above = W.orderBy(F.desc("k")).rowsBetween(W.unboundedPreceding, W.currentRow)  # a row for each threshold
+    rows = grid.join(F.broadcast(changes), "k", "left").crossJoin(F.broadcast(total)).filter("n > 0")
+    mean = lambda n: ((F.col("silent") + F.sum(F.coalesce(n, F.lit(0.0))).over(above)) / F.col("n")).alias
+    return rows.select("threshold", mean("f")("macro_f_beta"), mean("p")("macro_precision"), mean("r")("macro_recall"))
 
 
 def best_threshold(grid: DataFrame) -> DataFrame:

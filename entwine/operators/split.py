@@ -29,8 +29,11 @@ def assigned(strata_: DataFrame, ratio: float = 0.2, seed: int = 42) -> DataFram
     total = F.sum("n").over(W.partitionBy("stratum"))
     cuts = slices.withColumns({"before": before, "want": F.bround(total * F.lit(ratio)).cast("long")})
     placed = rows.join(cuts, ["stratum", "slice"])
+    below, beyond = F.col("before") + F.col("n") <= F.col("want"), F.col("before") >= F.col("want")
+    whole = placed.filter(below | beyond).select("entity_id", "stratum", F.when(below, "val").otherwise("train").alias("fold"))
     rank = F.row_number().over(W.partitionBy("stratum", "slice").orderBy("h", "entity_id")) + F.col("before")
-    return placed.select("entity_id", "stratum", F.when(rank <= F.col("want"), "val").otherwise("train").alias("fold"))
+    cut = placed.filter(~below & ~beyond).select("entity_id", "stratum", F.when(rank <= F.col("want"), "val").otherwise("train").alias("fold"))
+    return whole.unionByName(cut)
 
 
 def stats(folds: DataFrame) -> DataFrame:

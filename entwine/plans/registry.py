@@ -35,9 +35,10 @@ def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _truth(spark: SparkSession, d: str) -> DataFrame:
-    v = _view(spark, d)
-    a, b = v.filter("source = 'S1'"), v.filter("source <> 'S1'")
-    return a.select(F.col("entity_id").alias("s1_entity_id"), "text").join(b.select(F.col("entity_id").alias("target_entity_id"), "text"), "text").select("s1_entity_id", "target_entity_id")
+    """Entities of equal texts. As with blocks, a text of more than MAX_BLOCK targets says nothing."""
+    v = _view(spark, d).select("source", "entity_id", F.md5("text").alias("key"))
+    a, b = v.filter("source = 'S1'"), blocking.pruned(v.filter("source <> 'S1'"), by=("key",))
+    return a.select(F.col("entity_id").alias("s1_entity_id"), "key").join(b.select(F.col("entity_id").alias("target_entity_id"), "key"), "key").select("s1_entity_id", "target_entity_id")
 
 
 def _entities(spark: SparkSession, d: str) -> DataFrame:
@@ -107,14 +108,12 @@ def postings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def block_sizes(spark: SparkSession, d: str) -> DataFrame:
-    return _long(blocking.block_sizes(_sides(spark, d)[1]), "rule").filter(F.col("size") <= blocking.MAX_BLOCK)
+    return _long(blocking.block_sizes(_sides(spark, d)[1]), "rule")
 
 
 def _block(rule: int) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        s1, t = _sides(spark, d)
-        probe = blocking.postings(s1, probe=True).filter(F.col("rule") == rule).select(F.col("entity_id").alias("s1_entity_id"), "key")
-        return probe.join(blocking.postings(t).filter(F.col("rule") == rule).select(F.col("entity_id").alias("target_entity_id"), "key"), "key").select("s1_entity_id", "target_entity_id").distinct()
+        return blocking.rule_hits(*_sides(spark, d), rule)
 
     return run
 
@@ -134,7 +133,7 @@ def blocking_summary(spark: SparkSession, d: str) -> DataFrame:
 def _prefix_pairs(spark: SparkSession, d: str) -> DataFrame:
     s1, t = _sides(spark, d)
     side = lambda df, p: df.select(*[F.col(c).alias(f"{p}_{c}") for c in CLEAN], F.array_join(F.slice(T.tokens(F.when(F.col("clean_name_no_suffix") != "", F.col("clean_name_no_suffix")).otherwise(F.col("normalized_name"))), 1, 2), "_").alias("key"))
-    return side(s1, "a").join(side(t, "b"), "key").filter("key <> ''")
+    return side(s1, "a").join(blocking.pruned(side(t, "b").filter("key <> ''"), by=("key",)), "key")
 
 
 def _similarity(what: dict[str, Callable], column: str = "normalized_name") -> Callable[[SparkSession, str], DataFrame]:
@@ -185,8 +184,17 @@ def rule_ablation(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.rule_ablation(_truth(spark, d), _candidates(spark, d))
 
 
+def _agreed(spark: SparkSession, d: str) -> DataFrame:
+    return _candidates(spark, d).filter(F.col("num_rules") == len(blocking.RULES))
+
+
 def missed_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return evaluate.missed_pairs(_truth(spark, d), _candidates(spark, d))
+    """True pairs that not all rules agree on."""
+    return evaluate.missed_pairs(_truth(spark, d), _agreed(spark, d))
+
+
+def missed_sample(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.missed_sample(_truth(spark, d), _agreed(spark, d))
 
 
 def _graded(spark: SparkSession, d: str) -> DataFrame:
@@ -241,9 +249,15 @@ def inference_matches(spark: SparkSession, d: str) -> DataFrame:
 
 
 def submission_issues(spark: SparkSession, d: str) -> DataFrame:
+    """Issues of whole lists with a fault for each last digit of an entity's id, by kind."""
     s1, t = _sides(spark, d)
-    lists = joined_lists(_entities(spark, d).filter(~F.col("s1_entity_id").endswith("7")), _truth(spark, d))
-    found = validate.issues(lists, candidate_export(spark, d), s1, t)
+    last, i = F.substring("s1_entity_id", -1, 1), F.col("s1_entity_id")
+    matches = joined_lists(_entities(spark, d), _truth(spark, d))
+    wrong = F.when(last == "2", "S2_none,S2_none").when(last == "4", i).otherwise(F.col("matching_ids"))
+    matches = matches.select(F.when(last == "8", F.concat(i, F.lit("x"))).otherwise(i).alias("s1_entity_id"), wrong.alias("matching_ids"), last.alias("last")).filter("last <> '7'")
+    matches = matches.unionByName(matches.filter("last = '0'")).drop("last")
+    lists = candidate_export(spark, d).withColumn("candidate_ids", F.when(last == "3", F.concat_ws(",", "candidate_ids", F.lit("S2_none,S2_none"))).otherwise(F.col("candidate_ids")))
+    found = validate.issues(matches, lists.unionByName(lists.filter(last == "1")), s1, t)
     return found.groupBy("issue").agg(F.count("*").alias("n"))
 
 
@@ -280,8 +294,8 @@ _BARE = r"trim(regexp_replace(regexp_replace(lower(trim(" + _plain("country") +
 _BASE = rf"""
 WITH view_ AS (
   SELECT 'S' || (doc_id % 3 + 1) AS source, 'S' || (doc_id % 3 + 1) || '_' || doc_id AS entity_id,
-    array_to_string(string_split(text, ' ')[1:4], ' ') AS business_name,
-    n_chars || ' ' || array_to_string(string_split(text, ' ')[5:9], ' ') || ' ' || lpad(CAST(n_chars * 7 % 100000 AS VARCHAR), 5, '0') AS business_address,
+    array_to_string(string_split(coalesce(text, ''), ' ')[1:4], ' ') || CASE lang WHEN 'de' THEN ' GmbH' WHEN 'fr' THEN ' Sarl' WHEN 'en' THEN CASE doc_id % 2 WHEN 0 THEN ' Inc.' ELSE ' Pvt Ltd' END ELSE '' END AS business_name,
+    n_chars || ' ' || array_to_string(string_split(coalesce(text, ''), ' ')[5:9], ' ') || ' ' || lpad(CAST(n_chars * 7 % 100000 AS VARCHAR), 5, '0') AS business_address,
     lang AS country, text FROM documents),
 named AS (
   SELECT source, entity_id, trim(business_name, ' ') AS original_name, {_words(_plain("business_name"))} AS normalized_name,
@@ -316,7 +330,8 @@ paired AS (SELECT s1_entity_id, target_entity_id, count(DISTINCT rule) AS num_ru
 cand AS (SELECT s1_entity_id, target_entity_id, substr(target_entity_id, 1, 2) AS target_source, rules, num_rules FROM paired
   QUALIFY row_number() OVER (PARTITION BY s1_entity_id ORDER BY num_rules DESC, first_, substr(target_entity_id, 1, 2), target_entity_id) <= {blocking.MAX_CANDIDATES}),
 ents AS (SELECT entity_id AS s1_entity_id FROM view_ WHERE source = 'S1'),
-truth AS (SELECT a.entity_id AS s1_entity_id, b.entity_id AS target_entity_id FROM view_ a JOIN view_ b ON a.text = b.text WHERE a.source = 'S1' AND b.source <> 'S1'),
+told AS (SELECT text FROM view_ WHERE source <> 'S1' AND text IS NOT NULL GROUP BY text HAVING count(*) <= {blocking.MAX_BLOCK}),
+truth AS (SELECT a.entity_id AS s1_entity_id, b.entity_id AS target_entity_id FROM view_ a JOIN told USING (text) JOIN view_ b USING (text) WHERE a.source = 'S1' AND b.source <> 'S1'),
 strata AS (SELECT c.entity_id, upper(c.normalized_country) || '_' || CASE coalesce(n, 0) WHEN 0 THEN 'singleton' WHEN 1 THEN 'one_to_one' ELSE 'one_to_many' END AS stratum
   FROM clean c LEFT JOIN (SELECT s1_entity_id, count(*) AS n FROM truth GROUP BY ALL) t ON t.s1_entity_id = c.entity_id WHERE source = 'S1'),
 folds AS (SELECT entity_id, stratum, CASE WHEN row_number() OVER (PARTITION BY stratum ORDER BY md5('42|' || entity_id), entity_id) <= round_even(count(*) OVER (PARTITION BY stratum) * 0.2, 0) THEN 'val' ELSE 'train' END AS fold FROM strata),
@@ -346,7 +361,7 @@ def _sql(select: str, more: str = "one_ AS (SELECT 1)") -> str:
     return _BASE + more + select
 
 
-_PAIRS = "pairs AS (SELECT a.entity_id AS s1_entity_id, b.entity_id AS target_entity_id, a.normalized_name AS a, b.normalized_name AS b, a.normalized_address AS x, b.normalized_address AS y, a.postal_code AS p, b.postal_code AS q FROM core a JOIN core b ON array_to_string(a.toks[1:2], '_') = array_to_string(b.toks[1:2], '_') WHERE a.source = 'S1' AND b.source <> 'S1' AND len(a.toks) > 0)"
+_PAIRS = f"few AS (SELECT array_to_string(toks[1:2], '_') AS key FROM core WHERE source <> 'S1' AND len(toks) > 0 GROUP BY ALL HAVING count(*) <= {blocking.MAX_BLOCK}), pairs AS (SELECT a.entity_id AS s1_entity_id, b.entity_id AS target_entity_id, a.normalized_name AS a, b.normalized_name AS b, a.normalized_address AS x, b.normalized_address AS y, a.postal_code AS p, b.postal_code AS q FROM core a JOIN core b ON array_to_string(a.toks[1:2], '_') = array_to_string(b.toks[1:2], '_') JOIN few ON few.key = array_to_string(b.toks[1:2], '_') WHERE a.source = 'S1' AND b.source <> 'S1' AND len(a.toks) > 0)"
 
 
 def _pair_sql(columns: str, more: str = "") -> str:
@@ -423,7 +438,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = [
         normalize_entities, text_stats, table_audit, country_distribution, gt_cardinality, suffix_frequency, casing_punct, address_patterns, address_abbreviations, frequent_tokens,
         postings, block_sizes, candidates_topk, candidate_export, blocking_summary, pair_features, pair_labels, entity_fbeta, macro_fbeta, candidate_recall, recall_by_source_fold,
-        rule_ablation, missed_pairs, threshold_grid, best_threshold, split_assign, split_stats, baseline_matches, confusion_counts, hard_negatives, gbt_scores, inference_matches, submission_issues,
+        rule_ablation, missed_pairs, missed_sample, threshold_grid, best_threshold, split_assign, split_stats, baseline_matches, confusion_counts, hard_negatives, gbt_scores, inference_matches, submission_issues,
     ]
     found = {f.__name__: f for f in out}
     found |= {f"block_{r.removeprefix('rule_')}": _block(i + 1) for i, r in enumerate(blocking.RULES)}
@@ -456,7 +471,7 @@ def oracle_sql() -> dict[str, str]:
         "address_abbreviations": _sql(rf" SELECT token, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(business_address), '[^\p{{L}}\p{{N}}_]+')) AS token FROM view_) WHERE token IN ({', '.join(map(_q, T.ADDRESS_TOKENS))}) GROUP BY ALL"),
         "frequent_tokens": _sql(r" SELECT token, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(business_name), '[^\p{L}\p{N}_]+')) AS token FROM view_) WHERE token <> '' GROUP BY ALL ORDER BY n DESC, token LIMIT 50"),
         "postings": _sql(" SELECT entity_id, CAST(rule AS BIGINT) AS rule, CAST(pos AS BIGINT) AS pos, key FROM posts"),
-        "block_sizes": _sql(" SELECT CAST(rule AS BIGINT) AS rule, key, size FROM small"),
+        "block_sizes": _sql(" SELECT CAST(rule AS BIGINT) AS rule, key, count(*) AS size FROM posts GROUP BY ALL"),
         "candidates_topk": _sql(" SELECT s1_entity_id, target_entity_id, target_source, array_to_string(rules, ',') AS rules_triggered, num_rules AS num_rules_triggered FROM cand"),
         "candidate_export": _sql(" SELECT e.s1_entity_id, coalesce(array_to_string(list_sort(list(target_entity_id) FILTER (target_entity_id IS NOT NULL)), ','), '') AS candidate_ids FROM ents e LEFT JOIN cand USING (s1_entity_id) GROUP BY ALL"),
         "blocking_summary": _sql(" SELECT CAST(sum(n) AS BIGINT) AS total_pairs, round(avg(n), 2) AS mean_candidates, max(n) AS max_candidates FROM (SELECT count(target_entity_id) AS n FROM ents LEFT JOIN cand USING (s1_entity_id) GROUP BY s1_entity_id)"),
@@ -473,19 +488,39 @@ def oracle_sql() -> dict[str, str]:
         "candidate_recall": _sql(" SELECT count(*) AS true_pairs, CAST(coalesce(sum(hit), 0) AS BIGINT) AS captured_pairs, coalesce(avg(hit), 1.0) AS recall FROM captured"),
         "recall_by_source_fold": _sql(" SELECT count(*) AS total_true_pairs, CAST(coalesce(sum(hit), 0) AS BIGINT) AS captured_true_pairs, coalesce(round(100.0 * avg(hit), 3), 100.0) AS overall_pct, round(100.0 * avg(hit) FILTER (NOT v), 3) AS train_pct, round(100.0 * avg(hit) FILTER (v), 3) AS val_pct, coalesce(round(100.0 * avg(hit) FILTER (target_entity_id LIKE 'S2%'), 2), 100.0) AS source2_pct, coalesce(round(100.0 * avg(hit) FILTER (target_entity_id LIKE 'S3%'), 2), 100.0) AS source3_pct FROM captured"),
         "rule_ablation": _sql(" SELECT rule, count(*) AS captured, round(100.0 * count(*) / (SELECT count(*) FROM truth), 2) AS coverage_pct, count(*) FILTER (n = 1) AS unique_pairs, round(100.0 * count(*) FILTER (n = 1) / (SELECT count(*) FROM truth), 2) AS unique_pct FROM (SELECT unnest(rules) AS rule, num_rules AS n FROM cand JOIN truth USING (s1_entity_id, target_entity_id)) GROUP BY ALL"),
-        "missed_pairs": _sql(" SELECT s1_entity_id, target_entity_id FROM captured WHERE hit = 0"),
+        "missed_pairs": _sql(" SELECT s1_entity_id, target_entity_id FROM truth ANTI JOIN (FROM cand WHERE num_rules = 7) USING (s1_entity_id, target_entity_id)"),
+        "missed_sample": _sql(", missed AS (SELECT s1_entity_id, target_entity_id FROM truth ANTI JOIN (FROM cand WHERE num_rules = 7) USING (s1_entity_id, target_entity_id)) SELECT s1_entity_id, target_entity_id, CASE WHEN target_entity_id LIKE 'S2%' THEN 'S2' ELSE 'S3' END AS target_source, (SELECT count(*) FROM missed) AS total FROM missed ORDER BY s1_entity_id, target_entity_id LIMIT 20"),
         "threshold_grid": _sql(" SELECT * FROM done", _GRID),
         "best_threshold": _sql(" SELECT * FROM done ORDER BY macro_f_beta DESC, threshold LIMIT 1", _GRID),
         "split_assign": _sql(" SELECT entity_id, stratum, fold FROM folds"),
         "split_stats": _sql(" SELECT fold, stratum, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY fold), 2) AS pct FROM folds GROUP BY fold, stratum"),
         "confusion_counts": _sql(" SELECT count(*) FILTER (s AND m) AS tp, count(*) FILTER (s AND NOT m) AS fp, count(*) FILTER (NOT s AND m) AS fn, count(*) FILTER (NOT s AND NOT m) AS tn FROM (SELECT c.num_rules / 7.0 >= 0.5 AS s, t.s1_entity_id IS NOT NULL AS m FROM cand c LEFT JOIN truth t USING (s1_entity_id, target_entity_id))"),
         "hard_negatives": _sql(", l AS (SELECT c.s1_entity_id, c.target_entity_id, CAST(t.s1_entity_id IS NOT NULL AS BIGINT) AS is_match, CAST(v.s1_entity_id IS NOT NULL AS BIGINT) AS is_validation, c.num_rules / 7.0 AS score FROM cand c LEFT JOIN truth t USING (s1_entity_id, target_entity_id) LEFT JOIN val v ON v.s1_entity_id = c.s1_entity_id) SELECT s1_entity_id, target_entity_id, is_match, is_validation, CAST(0 AS BIGINT) AS is_hard_negative, CAST(NULL AS DOUBLE) AS model_score FROM l UNION ALL SELECT s1_entity_id, target_entity_id, is_match, is_validation, 1, round(score, 4) FROM l WHERE is_match = 0 AND score >= 0.5"),
-        "submission_issues": _sql(" SELECT issue, count(*) AS n FROM (SELECT 'match_not_in_candidates' AS issue FROM truth t ANTI JOIN cand c USING (s1_entity_id, target_entity_id) WHERE t.s1_entity_id NOT LIKE '%7' UNION ALL SELECT 'missing_s1_in_matches' FROM ents WHERE s1_entity_id LIKE '%7') GROUP BY ALL"),
+        "submission_issues": _sql(
+            """, listed AS (SELECT e.s1_entity_id AS id, e.s1_entity_id[-1:] AS last, list(t.target_entity_id) FILTER (t.target_entity_id IS NOT NULL) AS items FROM ents e LEFT JOIN truth t USING (s1_entity_id) GROUP BY ALL),
+            m1 AS (SELECT id, CASE WHEN last = '8' THEN id || 'x' ELSE id END AS s1, last, CASE WHEN last = '2' THEN ['S2_none', 'S2_none'] WHEN last = '4' THEN [id] ELSE items END AS items FROM listed WHERE last <> '7'),
+            m AS (FROM m1 UNION ALL FROM m1 WHERE last = '0'),
+            c1 AS (SELECT e.s1_entity_id AS s1, e.s1_entity_id[-1:] AS last, list(c.target_entity_id) FILTER (c.target_entity_id IS NOT NULL) AS items FROM ents e LEFT JOIN cand c USING (s1_entity_id) GROUP BY ALL),
+            c2 AS (SELECT s1, last, CASE WHEN last = '3' THEN list_concat(coalesce(items, []), ['S2_none', 'S2_none']) ELSE items END AS items FROM c1),
+            c AS (FROM c2 UNION ALL FROM c2 WHERE last = '1'),
+            mp AS (SELECT s1, unnest(items) AS t FROM m), cp AS (SELECT s1, unnest(items) AS t FROM c), pool AS (SELECT entity_id AS t FROM view_ WHERE source <> 'S1'),
+            found AS (
+              SELECT 'duplicate_s1_in_candidates' AS issue FROM c GROUP BY s1 HAVING count(*) > 1
+              UNION ALL SELECT 'duplicate_s1_in_matches' FROM m GROUP BY s1 HAVING count(*) > 1
+              UNION ALL SELECT 'duplicate_target_in_candidates' FROM cp GROUP BY s1, t HAVING count(*) > 1
+              UNION ALL SELECT 'duplicate_target_in_matches' FROM mp GROUP BY s1, t HAVING count(*) > 1
+              UNION ALL SELECT 'match_not_in_candidates' FROM (SELECT DISTINCT * FROM mp) x ANTI JOIN cp USING (s1, t)
+              UNION ALL SELECT 'match_not_a_target' FROM (SELECT DISTINCT * FROM mp) x ANTI JOIN pool USING (t)
+              UNION ALL SELECT 'match_is_an_s1_entity' FROM (SELECT DISTINCT * FROM mp) x SEMI JOIN (SELECT s1_entity_id AS t FROM ents) y USING (t)
+              UNION ALL SELECT 'missing_s1_in_matches' FROM ents e ANTI JOIN m ON m.s1 = e.s1_entity_id
+              UNION ALL SELECT 'unexpected_s1_in_matches' FROM (SELECT DISTINCT s1 FROM m) x ANTI JOIN ents e ON e.s1_entity_id = x.s1)
+            SELECT issue, count(*) AS n FROM found GROUP BY issue"""
+        ),
     }
     more, columns = _features_sql()
     found["pair_features"] = _sql(f" SELECT s1_entity_id, target_entity_id, {columns} FROM all_set_of", more)
     found["baseline_matches"] = _sql(f", f AS (SELECT s1_entity_id, target_entity_id, {columns} FROM all_set_of), b AS (SELECT s1_entity_id, target_entity_id, 0.55 * name_token_set_ratio + 0.35 * addr_token_set_ratio + 0.1 * country_exact_match AS score FROM f) SELECT s1_entity_id, target_entity_id, round(score, 6) AS score FROM b WHERE score >= 0.65", more)
     found["sim_token_set"] = _sql(" SELECT s1_entity_id, target_entity_id, round(r_set, 4) AS similarity FROM r_set_of", _PAIRS + ", " + _token_set("r_set", "pairs", "a", "b"))
     for i, r in enumerate(blocking.RULES):
-        found[f"block_{r.removeprefix('rule_')}"] = _sql(f" SELECT DISTINCT p.entity_id AS s1_entity_id, t.entity_id AS target_entity_id FROM probes p JOIN posts t USING (rule, key) WHERE rule = {i + 1}")
+        found[f"block_{r.removeprefix('rule_')}"] = _sql(f" SELECT DISTINCT p.entity_id AS s1_entity_id, t.entity_id AS target_entity_id FROM probes p JOIN small USING (rule, key) JOIN posts t USING (rule, key) WHERE rule = {i + 1}")
     return found

@@ -91,14 +91,17 @@ def pack(files: list[str], archive: str) -> None:
 
 
 def entity_view(documents: DataFrame) -> DataFrame:
-    """(source, entity_id, business_name, business_address, country, text): documents dealt to three sources."""
+    """(source, entity_id, business_name, business_address, country, text): documents dealt to three sources. A name is a
+    text's first four words and a legal form by its language, an address its next five with numbers from its length; the
+    text as a whole tells which entities are the same."""
+    form = F.when(F.col("lang") == "de", " GmbH").when(F.col("lang") == "fr", " Sarl").when(F.col("lang") == "en", F.when(F.col("doc_id") % 2 == 0, " Inc.").otherwise(" Pvt Ltd")).otherwise("")
     source = F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"))
     words = F.split(F.coalesce("text", F.lit("")), " ")
     code = F.lpad((F.col("n_chars") * 7 % 100000).cast("string"), 5, "0")
     return documents.select(
         source.alias("source"),
         F.concat(source, F.lit("_"), F.col("doc_id").cast("string")).alias("entity_id"),
-        F.array_join(F.slice(words, 1, 4), " ").alias("business_name"),
+        F.concat(F.array_join(F.slice(words, 1, 4), " "), form).alias("business_name"),
         F.concat_ws(" ", F.col("n_chars").cast("string"), F.array_join(F.slice(words, 5, 5), " "), code).alias("business_address"),
         F.col("lang").alias("country"),
         "text",
