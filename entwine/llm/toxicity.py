@@ -227,7 +227,7 @@ def _collected(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array([len(keys)], pa.int64()), pa.array([zlib.compress(raw, 6)], pa.binary())], ["n", "packed"])
 
     keys, counts = [np.zeros(0, np.uint64)], [np.zeros((0, 4), np.int64)]
-    for row in grams.mapInArrow(run, "n long, packed binary").toLocalIterator():
+    for row in grams.mapInArrow(run, "n long, packed binary").collect():
         raw = zlib.decompress(bytes(row["packed"]))
         keys.append(np.cumsum(np.frombuffer(raw, np.uint64, row["n"])))
         counts.append(np.frombuffer(raw, np.int64, offset=8 * row["n"]).reshape(4, -1).T)
