@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import shutil
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import files
+
 ENTITY_COLUMNS = ("entity_id", "business_name", "business_address", "country")
 
 
@@ -65,29 +69,50 @@ def write_tsv(df: DataFrame, path: str, order_by: str | None = None) -> None:
     rows.write.mode("overwrite").options(sep="\t", header=True, quote='"', escape='"').csv(path)
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """A one-row report as a JSON file."""
-    report.coalesce(1).write.mode("overwrite").json(path)
+def listed_ids(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """(s1_entity_id) of the list `name` in a JSON object; none if there is no such file."""
+    if not files.exists(path):
+        return spark.createDataFrame([], "s1_entity_id string")
+    raw = spark.read.schema(f"{name} array<string>").option("multiLine", True).json(path)
+    return raw.select(F.explode(name).alias("s1_entity_id")).select(F.trim("s1_entity_id").alias("s1_entity_id")).distinct()
 
 
-def unpack(archive: str, folder: str) -> list[str]:
-    """The tables of a zip archive, flattened into a folder."""
+def unpack(archives: str | list[str], folder: str, force: bool = False) -> list[str]:
+    """The tables of the first of some zip archives that is there, flattened into a local folder. Tables that are there
+    already stay, unless forced."""
+    archive = next((a for a in ([archives] if isinstance(archives, str) else archives) if Path(a).exists()), None)
+    if archive is None:
+        raise FileNotFoundError(f"no archive at {archives}")
     out = []
     Path(folder).mkdir(parents=True, exist_ok=True)
     with zipfile.ZipFile(archive) as z:
         for name in z.namelist():
-            base = Path(name).name
-            if base.lower().endswith((".tsv", ".csv")):
-                (Path(folder) / base).write_bytes(z.read(name))
-                out.append(base)
+            target = Path(folder) / Path(name).name
+            if target.suffix.lower() in (".tsv", ".csv"):
+                if force or not target.exists():
+                    with z.open(name) as source, target.open("wb") as to:
+                        shutil.copyfileobj(source, to)
+                out.append(target.name)
     return out
 
 
-def pack(files: list[str], archive: str) -> None:
+def pack(sources: dict[str, str], archive: str, about: dict | None = None) -> dict[str, object]:
+    """A zip archive of local files by the names they get in it, and of `about` as info.json. A folder of part files with
+    headers becomes one file with one. Returns what is in it and what was missing."""
+    there = {name: Path(p) for name, p in sources.items() if Path(p).exists()}
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
-        for f in files:
-            if Path(f).exists():
-                z.write(f, Path(f).name)
+        z.writestr("info.json", json.dumps(about or {}, indent=2, default=str))
+        for name, path in there.items():
+            if path.is_file():
+                z.write(path, name)
+                continue
+            with z.open(name, "w") as to:
+                for k, part in enumerate(sorted(path.glob("part-*"))):
+                    with part.open("rb") as source:
+                        if k:
+                            source.readline()
+                        shutil.copyfileobj(source, to)
+    return {"path": archive, "bytes": Path(archive).stat().st_size, "included": list(there), "missing": [n for n in sources if n not in there]}
 
 
 def entity_view(documents: DataFrame) -> DataFrame:
