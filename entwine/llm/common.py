@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text worked on at once by the numpy operators; bounds a worker's memory.
 CHUNK_BYTES = 1 << 21
@@ -39,6 +40,38 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+#: Bits of a sieve: 8 MB, whatever goes in.
+SIEVE_BITS = 26
+
+
+def bitmap(hashes: DataFrame, bits: int = SIEVE_BITS) -> np.ndarray:
+    """Words of a bitmap in which the upper bits of each hash (the one column of hashes, a long) are marked."""
+    bit = hashes.select(F.shiftrightunsigned(hashes.columns[0], 64 - bits).alias("bit"))
+    words = bit.groupBy(F.expr("cast(shiftright(bit, 5) as int)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(pmod(bit, 32) as int)))").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 5), np.uint32)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
+    return out
+
+
+def in_bitmap(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes (as unsigned) are marked."""
+    bit = hashes >> np.uint64(64 - (len(words).bit_length() - 1 + 5))
+    return (words[(bit >> np.uint64(5)).astype(np.int64)] >> (bit & np.uint64(31)).astype(np.uint32)) & 1 == 1
+
+
+def sieve(keys: DataFrame) -> Callable[[Column], Column]:
+    """A test of a column for being among the keys (one column): never false for a key, seldom true for another value. It
+    keeps rows out of a join before they are dealt; what it lets through too much the join drops. Null is no key."""
+    kind = keys.dtypes[0][1]
+    sent = keys.sparkSession.sparkContext.broadcast(bitmap(keys.select(F.xxhash64(keys.columns[0]).alias("h")).filter(F.col(keys.columns[0]).isNotNull())))
+
+    @F.arrow_udf("boolean")
+    def marked(h: pa.Array) -> pa.Array:
+        return pa.array(in_bitmap(sent.value, h.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return lambda column: column.isNotNull() & marked(F.xxhash64(column.cast(kind)))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that df does not have."""
     taken = {c.lower() for c in df.columns}

@@ -34,12 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bwt import repeated
-from .common import materialize, mix, powers, string_chunks
+from .common import bitmap, in_bitmap, materialize, mix, powers, sieve, string_chunks
 
 LENGTH, GRAM = 200, 32
 HALF = (LENGTH - GRAM) // 2
-#: Bits of the bitmap of anchors: 8 MB, whatever the size of the corpus.
-BITMAP_BITS = 26
 #: Bytes of whole buckets that are merged at once; one larger bucket is merged alone.
 BLOCK_BYTES = 1 << 19
 
@@ -110,16 +108,12 @@ def marked_anchors(texts: DataFrame) -> np.ndarray:
 
     found = texts.select("th", "text").mapInArrow(run, "h long, th long, twice boolean")
     some = found.groupBy("h").agg(F.min("th").alias("a"), F.max("th").alias("b"), F.max("twice").alias("twice")).filter("twice or a <> b")
-    bit = some.select(F.shiftrightunsigned("h", 64 - BITMAP_BITS).alias("bit"))
-    words = bit.groupBy(F.expr("cast(shiftright(bit, 5) as int)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(pmod(bit, 32) as int)))").alias("bits")).toArrow()
-    out = np.zeros(1 << (BITMAP_BITS - 5), np.uint32)
-    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
-    return out
+    return bitmap(some.select("h"))
 
 
-def pieces(texts: DataFrame, bitmap: np.ndarray) -> DataFrame:
+def pieces(texts: DataFrame, marks: np.ndarray) -> DataFrame:
     """(id, th, start, bucket, piece): the runs of windows whose anchor is marked."""
-    sent = texts.sparkSession.sparkContext.broadcast(bitmap)
+    sent = texts.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
@@ -130,8 +124,7 @@ def pieces(texts: DataFrame, bitmap: np.ndarray) -> DataFrame:
                     continue
                 marked = []
                 for has, h in runs.sides:
-                    bit = h >> np.uint64(64 - BITMAP_BITS)
-                    marked.append(has & ((bits[(bit >> np.uint64(5)).astype(np.int64)] >> (bit & np.uint64(31)).astype(np.uint32)) & 1 == 1))
+                    marked.append(has & in_bitmap(bits, h))
                 first = np.where(marked[0], runs.first, np.maximum(runs.first, runs.middle))
                 end = np.where(marked[1], runs.end, np.minimum(runs.end, runs.middle + 1))
                 keep = np.flatnonzero((marked[0] | marked[1]) & (first < end))
@@ -220,8 +213,12 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """(id, n_bytes, spans array<struct<a, b>>, kept binary): each text's removed spans and the bytes that stay
     (null: all of them stay)."""
     texts = _texts(docs, id_col, text_col)
-    gone = materialize(spans(docs, id_col, text_col))
-    joined = texts.join(gone.withColumnsRenamed({"id": "gid", "th": "gth"}), F.col("id").eqNullSafe(F.col("gid")) & (F.col("th") == F.col("gth")), "left")
+    gone = materialize(spans(docs, id_col, text_col).withColumnsRenamed({"id": "gid", "th": "gth"}))
+    has = sieve(gone.select("gth"))
+    some = texts.filter(has(F.col("th"))).join(gone, F.col("id").eqNullSafe(F.col("gid")) & (F.col("th") == F.col("gth")), "left")
+    kind = texts.schema["id"].dataType.simpleString()
+    whole = texts.filter(~has(F.col("th")))  # not dealt anew: nothing goes
+    kept = whole.select("id", F.octet_length("text").cast("long").alias("n_bytes"), F.array().cast("array<struct<a:bigint,b:bigint>>").alias("spans"), F.lit(None).cast("binary").alias("kept"), F.sha2("text", 256).alias("kept_sha256"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("a", pa.int64()), ("b", pa.int64())])
@@ -236,5 +233,4 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             n = pc.binary_length(batch.column(1)).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(cut, pa.list_(span)), pa.array(kept, pa.binary()), pa.array(sha)], ["id", "n_bytes", "spans", "kept", "kept_sha256"])
 
-    kind = texts.schema["id"].dataType.simpleString()
-    return joined.select("id", "text", "starts").mapInArrow(run, f"id {kind}, n_bytes long, spans array<struct<a:bigint,b:bigint>>, kept binary, kept_sha256 string")
+    return kept.unionByName(some.select("id", "text", "starts").mapInArrow(run, f"id {kind}, n_bytes long, spans array<struct<a:bigint,b:bigint>>, kept binary, kept_sha256 string"))

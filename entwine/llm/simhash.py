@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, materialize, mix, spans, string_chunks, unused
+from .common import LOWER, SPACE, materialize, mix, sieve, spans, string_chunks, unused
 from .components import connected
 from .xxh64 import xxh64_spans
 
@@ -333,7 +333,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFram
     wanted = materialize(pairs.join(held, "key").groupBy("rep", "digest").agg(F.collect_list("key").alias("keys")))
     # One text of each class is spelt out: of those of its smallest id, all of which have the same set or are told apart.
     owners = classes.select("rep", F.col("least").alias("id")).join(wanted, "rep")
-    sets = rows.join(owners, "id").select("rep", "text", "digest", "keys").mapInArrow(spread, "key long, rep long, shingles binary")
+    owners = materialize(owners)
+    sets = rows.filter(sieve(owners.select("id"))(F.col("id"))).join(owners, "id").select("rep", "text", "digest", "keys").mapInArrow(spread, "key long, rep long, shingles binary")
     found = sets.repartition(F.col("key")).sortWithinPartitions("key", "rep").mapInArrow(_verified, "src long, dst long").distinct()
     members = materialize(classes.select("rep", "digest", "least").join(connected(found).withColumnRenamed("node", "rep"), "rep", "left").select("digest", "least", F.coalesce("root", "rep").alias("root")))
     root = members.join(members.groupBy("root").agg(F.min("least").alias("component")), "root").select("digest", "root", "component")
@@ -356,8 +357,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     again = found.filter("id = component").groupBy("id", "root").agg(F.count("*").alias("n")).filter("n > 1").select("id", "root")
     again = materialize(found.join(again, ["id", "root"]).select(F.col("id").alias(gid), F.col("th").alias(gth), F.col("root").alias(groot)).distinct())
     same = (F.col(id_col).cast("long") == F.col(gid)) & (th == F.col(gth))
-    some = docs.filter(F.col(id_col).isNotNull())
-    once = some.join(gone.unionByName(again.select(gid, gth)), same, "left_anti")
+    few = gone.unionByName(again.select(gid, gth))
+    may_go = sieve(few.select(gid))(F.col(id_col).cast("long"))  # the others are not dealt anew
+    some = docs.filter(may_go)
+    once = docs.filter(F.col(id_col).isNotNull() & ~may_go).unionByName(some.join(few, same, "left_anti"))
     ranked = some.join(again, same).withColumn(order, F.row_number().over(W.partitionBy(gid, groot).orderBy(text_col, *[F.xxhash64(F.col(c)) for c in docs.columns])))
     first = ranked.filter(F.col(order) == 1).select(docs.columns)
     return once.select(docs.columns).unionByName(first).unionByName(docs.filter(F.col(id_col).isNull()))
