@@ -61,8 +61,8 @@ def op5_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole tunes of all vectors. Rows: (query_id, class_id, ..) of each alignment with a class of equal fingerprints,
     and (vec_id, class_id) of each recording that is a copy of its class's smallest id."""
     vectors = table(spark, sf_dir, "embeddings")
-    known = materialize(chroma.classes(chroma.fingerprints(chroma.rendered(vectors), "vec_id", "audio")))
-    asked = chroma.fingerprints(chroma.rendered(vectors.filter("vec_id % 100 = 0"), excerpt=True), "vec_id", "audio")
+    known = materialize(chroma.classes(chroma.fingerprints(vectors, "vec_id", "embedding", chroma.tune)))
+    asked = chroma.fingerprints(vectors.filter("vec_id % 100 = 0"), "vec_id", "embedding", chroma.heard)
     found = chroma.search(asked, known).select(F.col("query").alias("query_id"), F.lit(None).cast("long").alias("vec_id"), F.col("class").alias("class_id"), "offset", "hits", "bit_error")
     none = [F.lit(None).cast(t).alias(n) for n, t in (("offset", "long"), ("hits", "long"), ("bit_error", "double"))]
     return found.unionByName(known.filter("id <> class").select(F.lit(None).cast("long").alias("query_id"), F.col("id").alias("vec_id"), F.col("class").alias("class_id"), *none))

@@ -1,12 +1,11 @@
 import math
 import random
-import re
 import zlib
-from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from plain import Plain, plain_statistics
 from pyspark.sql import functions as F
 
 from entwine.llm import entry, quality, toxicity
@@ -67,48 +66,6 @@ def test_quality(make, spark):
     assert len({r.score for r in quality.score(clash, labels).collect()}) == 1
 
 
-class Plain:
-    """The two Kneser-Ney models with dictionaries of byte strings."""
-
-    def __init__(self, words):  # (word, class)
-        self.top, grams = (Counter(), Counter()), set()
-        for word, c in words:
-            b = b"\1" + word.encode() + b"\2"
-            for p in range(1, len(b)):
-                for n in range(1, toxicity.ORDER + 1):
-                    if p - n + 1 >= 0:
-                        g = b[p - n + 1 : p + 1]
-                        grams.add(g)
-                        if n == toxicity.ORDER or p - n + 1 == 0:
-                            self.top[c][g] += 1
-        self.times, self.total, self.types = Counter(), Counter(), Counter()
-        for g in grams:
-            if len(g) > 1:
-                self.times[g[1:]] += 1
-                self.total[g[1:-1]] += 1
-            if not (len(g) == toxicity.ORDER or g[0] == 1):
-                self.types[g[:-1]] += 1
-        self.by = (defaultdict(list), defaultdict(list))
-        for c in (0, 1):
-            for g, k in self.top[c].items():
-                self.by[c][g[:-1]].append(k)
-
-    def ratio(self, word):
-        b, out, d = b"\1" + word.encode() + b"\2", 0.0, toxicity.DISCOUNT
-        for p in range(1, len(b)):
-            low = 1 / 256
-            for n in range(1, toxicity.ORDER):
-                if p - n + 1 >= 1 and (t := self.total[(ctx := b[p - n + 1 : p])]):
-                    low = max((max(self.times[b[p - n + 1 : p + 1]] - d, 0) + d * self.types[ctx] * low) / t, 1e-9)
-            g = b[max(0, p - toxicity.ORDER + 1) : p + 1]
-            logs = []
-            for c in (0, 1):
-                ks = self.by[c][g[:-1]]
-                logs.append(math.log((max(self.top[c][g] - d, 0) + d * len(ks) * low) / sum(ks) + 1e-9) if ks else math.log(low))
-            out += logs[1] - logs[0]
-        return out
-
-
 def test_models_against_dictionaries(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice(["ab", "c", "é", "xyz", "q", "ünd"]) for _ in range(rng.randrange(1, 6)))
@@ -134,22 +91,6 @@ def test_table_finds_only_its_keys():
     assert not toxicity._Table(np.zeros(0, np.uint64), np.zeros(0)).get(keys)[0].any()
 
 
-def plain_statistics(t):
-    words = [w for w in re.split("[\t-\r ]+", t) if w]
-    if not words:
-        return [0.0] * len(quality.STATISTICS)
-    low = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in words]
-    letters = [c for c in t if c.isascii() and c.isalpha()]
-    lines = [x for x in re.split("[\n\r]+", t) if x]
-    n, size = len(words), len(t)
-    bare = sum(not any(not c.isascii() or c.isalpha() for c in w) for w in words)
-    return [
-        math.log1p(n), math.log1p(size / n), math.sqrt(sum(c.isupper() for c in letters) / max(len(letters), 1)), math.sqrt(sum(c.isascii() and c > " " and c != "\x7f" and not c.isalnum() and c not in ".,'-" for c in t) / size),
-        math.sqrt(bare / n), math.sqrt(sum(a == b for a, b in zip(low, low[1:], strict=False)) / n), math.log1p(len(set(low))) / math.log1p(n), math.sqrt((len(lines) - len(set(lines))) / max(len(lines), 1)),
-        math.sqrt(sum("0" <= c <= "9" for c in t) / size), math.sqrt(sum(w.endswith(".") for w in words) / n), math.sqrt(max(Counter(low).values()) / n), sum(len(w) <= 3 for w in words) / n, math.log1p(size / max(len(lines), 1)),
-    ]
-
-
 def test_quality_against_plain_densities(make, spark):
     rng = random.Random(2)
     good = lambda: " ".join(rng.choice(["Tree", "river", "stone.", "cloud", "grass,", "bird\n", "é9"]) for _ in range(rng.randrange(3, 80)))
