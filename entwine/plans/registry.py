@@ -239,13 +239,24 @@ def hard_negatives(spark: SparkSession, d: str) -> DataFrame:
     return _long(found, "is_hard_negative")
 
 
-def gbt_scores(spark: SparkSession, d: str) -> DataFrame:
-    f = features.labelled(pair_features(spark, d), _truth(spark, d), _val(spark, d))
+def _gbt(spark: SparkSession, d: str) -> DataFrame:
+    f = features.labelled(pair_features(spark, d), _truth(spark, d), _val(spark, d)).persist()  # read by every round of the fit
     return models.scores(models.train(f), f)
 
 
+def gbt_scores(spark: SparkSession, d: str) -> DataFrame:
+    """What SQL can say of the scores of boosted trees: how many pairs there are by label and fold, that all scores are
+    probabilities, and that their means lie on the right side."""
+    right = F.when(F.col("is_match") == 1, F.avg("score") > 0.5).otherwise(F.avg("score") < 0.5)
+    found = _gbt(spark, d).groupBy("is_match", "is_validation").agg(F.count("*").alias("n"), F.bool_and(F.col("score").between(0, 1)).alias("in_range"), right.alias("right_side"))
+    return _long(found, "is_match", "is_validation")
+
+
 def inference_matches(spark: SparkSession, d: str) -> DataFrame:
-    return joined_lists(_entities(spark, d), models.matches(gbt_scores(spark, d), 0.5))
+    """What SQL can say of the final lists: one for each entity, their ids candidates of it, each once and in order."""
+    lists = joined_lists(_entities(spark, d), models.matches(_gbt(spark, d), 0.5)).join(candidate_export(spark, d), "s1_entity_id")
+    items, pool = (F.array_remove(F.split(c, ","), "") for c in ("matching_ids", "candidate_ids"))
+    return lists.agg(F.count("*").alias("n"), F.countDistinct("s1_entity_id").alias("entities"), F.bool_and(F.size(F.array_except(items, pool)) == 0).alias("candidates_only"), F.bool_and(items == F.array_sort(F.array_distinct(items))).alias("in_order"))
 
 
 def submission_issues(spark: SparkSession, d: str) -> DataFrame:
@@ -517,6 +528,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT issue, count(*) AS n FROM found GROUP BY issue"""
         ),
     }
+    found["gbt_scores"] = _sql(" SELECT CAST(t.s1_entity_id IS NOT NULL AS BIGINT) AS is_match, CAST(v.s1_entity_id IS NOT NULL AS BIGINT) AS is_validation, count(*) AS n, true AS in_range, true AS right_side FROM cand c LEFT JOIN truth t USING (s1_entity_id, target_entity_id) LEFT JOIN val v ON v.s1_entity_id = c.s1_entity_id GROUP BY ALL")
+    found["inference_matches"] = _sql(" SELECT count(*) AS n, count(DISTINCT s1_entity_id) AS entities, true AS candidates_only, true AS in_order FROM ents")
     more, columns = _features_sql()
     found["pair_features"] = _sql(f" SELECT s1_entity_id, target_entity_id, {columns} FROM all_set_of", more)
     found["baseline_matches"] = _sql(f", f AS (SELECT s1_entity_id, target_entity_id, {columns} FROM all_set_of), b AS (SELECT s1_entity_id, target_entity_id, 0.55 * name_token_set_ratio + 0.35 * addr_token_set_ratio + 0.1 * country_exact_match AS score FROM f) SELECT s1_entity_id, target_entity_id, round(score, 6) AS score FROM b WHERE score >= 0.65", more)
