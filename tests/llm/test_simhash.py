@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from entwine.llm import simhash, xxh64
+from entwine.llm import entry, simhash, xxh64
 from entwine.llm.components import connected
 
 
@@ -150,3 +150,21 @@ def test_a_key_that_spans_batches():
         got = roots(46, links)
         want = want or got
         assert got == want
+
+
+def test_whole_query_against_the_definition(spark, make, tmp_path):
+    rng = random.Random(9)
+    texts = [None, "", "a", "A", " a\t", "a b", "x" * 5000]
+    for _ in range(25):
+        words = [f"w{rng.randrange(500)}" for _ in range(rng.choice([4, 30, 200]))]
+        texts.append(" ".join(words))
+        for _ in range(rng.randrange(4)):
+            copy = words[:]
+            copy[rng.randrange(len(copy))] = "changed"
+            texts.append("  ".join(copy))
+    make(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    fps = [brute(t) for t in texts]
+    near = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3]
+    root = roots(len(texts), near)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in entry.op6_simhash(spark, str(tmp_path)).collect()}
+    assert got == {i: (f"{fps[i]:016x}", root[i]) for i in range(len(texts))} and len(near) > 20
