@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text worked on at once by the numpy operators; bounds a worker's memory.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,10 +31,18 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_folders: set[str] = set()
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: later steps neither recompute it nor depend on one executor."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/entwine-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/entwine-{spark.sparkContext.applicationId}"
+    if folder not in _folders:  # goes with the application, since what reads it is lazy
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+        _folders.add(folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)

@@ -38,7 +38,7 @@ _GAP = 0xFF
 #: A character outside the model costs so much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 #: Ids of words kept by a worker; when they are full, the cache starts anew.
-_POOL, _SLOTS = 1 << 23, 21
+_POOL, _SLOTS = 1 << 22, 20
 #: Ids that are spelt out at once.
 _IDS = 1 << 18
 #: Words times places searched at once.

@@ -44,8 +44,9 @@ THRESHOLD = 0.7
 MISS_COST = 4.0
 _FEATURES = 6
 _GROUPS = ("o0", "o1", "t0", "t1")
-#: Words a task holds before it spells them out as n-grams, and words spelt out at once: they bound its memory.
-_HELD_WORDS, _BLOCK_WORDS = 300_000, 20_000
+#: Words a task holds before it spells them out as n-grams, words spelt out at once, and n-grams held: they bound its
+#: memory.
+_HELD_WORDS, _BLOCK_WORDS, _HELD_GRAMS = 200_000, 10_000, 400_000
 #: Labels are broadcast up to so many rows (about 40 MB as a hash table); of more, the training texts are
 #: dealt out by id once.
 BROADCAST_LABELS = 1_000_000
@@ -200,9 +201,11 @@ def ngram_sums(train: DataFrame) -> DataFrame:
                 low, high = starts[at].min(), ends[at].max()
                 more, new = _grams_of(buf[low:high], starts[at] - low, ends[at] - low, counts[at])
                 keys, sums = _summed(np.concatenate([keys, more]), np.concatenate([sums, new]))
-            for k in range(0, len(keys), 100_000):
-                part = slice(k, k + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), *[pa.array(sums[part, g]) for g in range(4)]], ["g", *_GROUPS])
+                if len(keys) > _HELD_GRAMS or k + _BLOCK_WORDS >= len(starts):
+                    for i in range(0, len(keys), 100_000):
+                        part = slice(i, i + 100_000)
+                        yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), *[pa.array(sums[part, g]) for g in range(4)]], ["g", *_GROUPS])
+                    keys, sums = keys[:0], sums[:0]
 
         for batch in batches:
             group = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64) * 2 + batch.column(2).to_numpy(zero_copy_only=False)
@@ -285,16 +288,19 @@ class Model:
         return np.bincount(which[p], weights=logs[1] - logs[0], minlength=len(starts))
 
 
-def _packed(*models: Model) -> tuple[str, bytes]:
-    """Models for a broadcast."""
-    return models[0].name, zlib.compress(pickle.dumps(models, protocol=5), 1)
+def _packed(*models: Model) -> tuple[str, bytes, list[bytes]]:
+    """Models for a broadcast: their arrays apart and compressed."""
+    arrays: list[pickle.PickleBuffer] = []
+    frame = pickle.dumps(models, protocol=5, buffer_callback=arrays.append)
+    return models[0].name, frame, [zlib.compress(x.raw(), 1) for x in arrays]
 
 
-def _unpacked(sent: tuple[str, bytes]) -> tuple:
-    name, raw = sent
+def _unpacked(sent: tuple[str, bytes, list[bytes]]) -> tuple:
+    """The models, array by array, so that none is in memory twice; what a worker had before goes first."""
+    name, frame, arrays = sent
     if name not in _models:
         _models.clear()
-        models = pickle.loads(zlib.decompress(raw))
+        models = pickle.loads(frame, buffers=(zlib.decompress(x) for x in arrays))
         _models[name] = models, [WordCache() for _ in models]
     return _models[name]
 
