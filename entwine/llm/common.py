@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -80,6 +82,13 @@ def sieve(keys: DataFrame) -> Callable[[Column], Column]:
     return lambda column: column.isNotNull() & marked(F.xxhash64(column.cast(kind)))
 
 
+def give_back() -> None:
+    """Return what a worker has freed to the system: workers outlive their tasks, and an executor has several."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that df does not have."""
     taken = {c.lower() for c in df.columns}

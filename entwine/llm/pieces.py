@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from .common import mix, powers, string_chunks
+from .common import give_back, mix, powers, string_chunks
 
 MARK = "▁"
 _MARK = MARK.encode()
@@ -397,7 +397,10 @@ def _words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 @cache
 def pieces(path: str) -> Pieces:
     """One table of a model for a worker's life."""
-    return Pieces(path)
+    give_back()
+    made = Pieces(path)
+    give_back()
+    return made
 
 
 def encode(text: Column, model: str = DEFAULT_MODEL) -> Column:
@@ -437,6 +440,7 @@ def encoded(docs: DataFrame, text_col: str = "text", out: str = "ids", model: st
         table = pieces(model)
         for part in _slices(batches, at):
             yield pa.RecordBatch.from_arrays([*part.columns, table.encode(part.column(at))], [*part.schema.names, out])
+        give_back()
 
     return rest.mapInArrow(run, StructType([*rest.schema.fields, StructField(out, ArrayType(IntegerType()))]))
 
@@ -450,6 +454,7 @@ def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             text = pc.fill_null(part.column(1), "")
             ids = table.encode(text)
             yield pa.RecordBatch.from_arrays([part.column(0), ids, pc.equal(table.decode(ids), text.cast(pa.string()))], ["id", "ids", "exact"])
+        give_back()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, ids array<int>, exact boolean")

@@ -215,7 +215,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     texts = _texts(docs, id_col, text_col)
     gone = materialize(spans(docs, id_col, text_col).withColumnsRenamed({"id": "gid", "th": "gth"}))
     has = sieve(gone.select("gth"))
-    some = texts.filter(has(F.col("th"))).join(gone, F.col("id").eqNullSafe(F.col("gid")) & (F.col("th") == F.col("gth")), "left")
+    some = texts.filter(has(F.col("th"))).repartition(F.col("th")).join(gone, F.col("id").eqNullSafe(F.col("gid")) & (F.col("th") == F.col("gth")), "left")
     kind = texts.schema["id"].dataType.simpleString()
     whole = texts.filter(~has(F.col("th")))  # not dealt anew: nothing goes
     kept = whole.select("id", F.octet_length("text").cast("long").alias("n_bytes"), F.array().cast("array<struct<a:bigint,b:bigint>>").alias("spans"), F.lit(None).cast("binary").alias("kept"), F.sha2("text", 256).alias("kept_sha256"))

@@ -334,7 +334,9 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFram
     # One text of each class is spelt out: of those of its smallest id, all of which have the same set or are told apart.
     owners = classes.select("rep", F.col("least").alias("id")).join(wanted, "rep")
     owners = materialize(owners)
-    sets = rows.filter(sieve(owners.select("id"))(F.col("id"))).join(owners, "id").select("rep", "text", "digest", "keys").mapInArrow(spread, "key long, rep long, shingles binary")
+    # Dealt out before the join in any case, so that no task has two workers, one for the sieve and one for the sets.
+    asked = rows.filter(sieve(owners.select("id"))(F.col("id"))).repartition(F.col("id"))
+    sets = asked.join(owners, "id").select("rep", "text", "digest", "keys").mapInArrow(spread, "key long, rep long, shingles binary")
     found = sets.repartition(F.col("key")).sortWithinPartitions("key", "rep").mapInArrow(_verified, "src long, dst long").distinct()
     members = materialize(classes.select("rep", "digest", "least").join(connected(found).withColumnRenamed("node", "rep"), "rep", "left").select("digest", "least", F.coalesce("root", "rep").alias("root")))
     root = members.join(members.groupBy("root").agg(F.min("least").alias("component")), "root").select("digest", "root", "component")

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_WORD, WordCache, materialize, mix, span_hashes, spans, string_chunks
+from .common import NON_WORD, WordCache, give_back, materialize, mix, span_hashes, spans, string_chunks
 
 ORDER = 7
 DISCOUNT = 0.75
@@ -214,6 +214,8 @@ def ngram_sums(train: DataFrame) -> DataFrame:
                 if words.n > _HELD_WORDS:
                     yield from spill()
         yield from spill()
+        del words
+        give_back()
 
     return train.mapInArrow(run, "g long, " + ", ".join(f"{k} long" for k in _GROUPS)).groupBy("g").agg(*[F.sum(k).alias(k) for k in _GROUPS])
 
@@ -300,6 +302,7 @@ def _unpacked(sent: tuple[str, bytes, list[bytes]]) -> tuple:
     name, frame, arrays = sent
     if name not in _models:
         _models.clear()
+        give_back()
         models = pickle.loads(frame, buffers=(zlib.decompress(x) for x in arrays))
         _models[name] = models, [WordCache() for _ in models]
     return _models[name]
@@ -365,19 +368,23 @@ def fit(train: DataFrame) -> tuple[Model, np.ndarray] | None:
     sums = _collected(ngram_sums(train.select("text", "toxic", "fold")))
     if not sums[1][:, :2].sum() or not sums[1][:, 2:].sum():
         return None
-    crossed = spark.sparkContext.broadcast(_packed(Model(sums, (1,)), Model(sums, (0,))))  # a fold is scored by the other's counts
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, caches = _unpacked(crossed.value)
-        for batch in batches:
-            fold = batch.column(1).to_numpy(zero_copy_only=False)
-            x = np.where((fold == 0)[:, None], *(features(batch.column(0), m, c) for m, c in zip(models, caches, strict=True)))
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, k]) for k in range(_FEATURES)] + [batch.column(2)], [f"f{k}" for k in range(_FEATURES)] + ["y"])
-
     ids = train.select("id").distinct().orderBy(F.xxhash64(F.lit(11), "id"), "id").limit(CALIBRATION_ROWS)
     sample = train.join(ids, "id", "left_semi").select("text", "fold", "toxic")
-    found = sample.mapInArrow(run, ", ".join(f"f{k} double" for k in range(_FEATURES)) + ", y int").toArrow()
-    crossed.destroy()
+    kinds = ", ".join(f"f{k} double" for k in range(_FEATURES)) + ", y int"
+
+    def crossed(fold: int) -> DataFrame:
+        """The rows of a fold by the counts of the other: one model at a time in a worker."""
+        sent = spark.sparkContext.broadcast(_packed(Model(sums, (1 - fold,))))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            (model,), (cache,) = _unpacked(sent.value)
+            for batch in batches:
+                x = features(batch.column(0), model, cache)
+                yield pa.RecordBatch.from_arrays([pa.array(x[:, k]) for k in range(_FEATURES)] + [batch.column(1)], [f"f{k}" for k in range(_FEATURES)] + ["y"])
+
+        return sample.filter(F.col("fold") == fold).select("text", "toxic").mapInArrow(run, kinds)
+
+    found = crossed(0).union(crossed(1)).toArrow()
     x = np.stack([found.column(k).to_numpy() for k in range(_FEATURES)], axis=1)
     weights = fit_logistic(x, found.column("y").to_numpy().astype(float))
     return Model(sums), weights + np.r_[np.log(MISS_COST), np.zeros(_FEATURES)]
