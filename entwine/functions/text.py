@@ -11,100 +11,94 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 # Legal suffixes, in the order in which they are tried.
-SUFFIXES = """
-private limited
-limited liability company
-pvt ltd
-pvt. ltd.
-pte ltd
-pty ltd
-corp.
-corp
-corporation
-incorporated
-inc.
-inc
-ltd.
-ltd
-limited
-llc.
-llc
-llp.
-llp
-pllc
-gmbh
-s.a.s.
-sas
-s.a.
-sa
-s.a.r.l.
-sarl
-co.
-co
-company
-""".strip().split("\n")
+SUFFIXES = [
+    "private limited",
+    "limited liability company",
+    "pvt ltd",
+    "pvt. ltd.",
+    "pte ltd",
+    "pty ltd",
+    "corp.",
+    "corp",
+    "corporation",
+    "incorporated",
+    "inc.",
+    "inc",
+    "ltd.",
+    "ltd",
+    "limited",
+    "llc.",
+    "llc",
+    "llp.",
+    "llp",
+    "pllc",
+    "gmbh",
+    "s.a.s.",
+    "sas",
+    "s.a.",
+    "sa",
+    "s.a.r.l.",
+    "sarl",
+    "co.",
+    "co",
+    "company",
+]
 
 # Address tokens and what they stand for. Tokens with dots are not listed: dots are gone by then.
-ADDRESS_TOKENS = dict(
-    line.split()
-    for line in """
-st street
-rd road
-ave avenue
-av avenue
-blvd boulevard
-dr drive
-ln lane
-ct court
-pl place
-sq square
-ste suite
-apt apartment
-fl floor
-flr floor
-bldg building
-hwy highway
-pkwy parkway
-terr terrace
-cir circle
-n north
-s south
-e east
-w west
-ne northeast
-nw northwest
-se southeast
-sw southwest
-""".strip().split("\n")
-)
+ADDRESS_TOKENS = {
+    "st": "street",
+    "rd": "road",
+    "ave": "avenue",
+    "av": "avenue",
+    "blvd": "boulevard",
+    "dr": "drive",
+    "ln": "lane",
+    "ct": "court",
+    "pl": "place",
+    "sq": "square",
+    "ste": "suite",
+    "apt": "apartment",
+    "fl": "floor",
+    "flr": "floor",
+    "bldg": "building",
+    "hwy": "highway",
+    "pkwy": "parkway",
+    "terr": "terrace",
+    "cir": "circle",
+    "n": "north",
+    "s": "south",
+    "e": "east",
+    "w": "west",
+    "ne": "northeast",
+    "nw": "northwest",
+    "se": "southeast",
+    "sw": "southwest",
+}
 
 # Country spellings (without punctuation) and their canonical names.
-COUNTRIES = dict(
-    line.split(" = ")
-    for line in """
-usa = US
-united states = US
-united states of america = US
-us = US
-in = INDIA
-ind = INDIA
-india = INDIA
-bharat = INDIA
-fr = FRANCE
-fra = FRANCE
-france = FRANCE
-french republic = FRANCE
-uk = UNITED KINGDOM
-united kingdom = UNITED KINGDOM
-great britain = UNITED KINGDOM
-gb = UNITED KINGDOM
-gbr = UNITED KINGDOM
-de = GERMANY
-deu = GERMANY
-germany = GERMANY
-deutschland = GERMANY
-""".strip().split("\n")
-)
+COUNTRIES = {
+    "usa": "US",
+    "united states": "US",
+    "united states of america": "US",
+    "us": "US",
+    "in": "INDIA",
+    "ind": "INDIA",
+    "india": "INDIA",
+    "bharat": "INDIA",
+    "fr": "FRANCE",
+    "fra": "FRANCE",
+    "france": "FRANCE",
+    "french republic": "FRANCE",
+    "uk": "UNITED KINGDOM",
+    "united kingdom": "UNITED KINGDOM",
+    "great britain": "UNITED KINGDOM",
+    "gb": "UNITED KINGDOM",
+    "gbr": "UNITED KINGDOM",
+    "de": "GERMANY",
+    "deu": "GERMANY",
+    "germany": "GERMANY",
+    "deutschland": "GERMANY",
+}
 
 NOT_WORD = r"[^\p{L}\p{N}_\s]"
 

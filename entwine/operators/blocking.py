@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from ..functions.text import tokens
 
 # Words that make no block of their own.
-STOPWORDS = """
-and the of in for on at to a an
-services service store shop center centre solutions
-enterprises group holdings trading international global
-corporation company limited pvt ltd inc llc
-""".split()
+STOPWORDS = [
+    "and", "the", "of", "in", "for", "on", "at", "to",
+    "a", "an", "services", "service", "store", "shop", "center", "centre",
+    "solutions", "enterprises", "group", "holdings", "trading", "international", "global", "corporation",
+    "company", "limited", "pvt", "ltd", "inc", "llc",
+]
 
 RULES = ("rule_exact_name", "rule_clean_name", "rule_exact_addr", "rule_prefix_tokens", "rule_rare_token", "rule_postal_digits", "rule_char_3gram")
 MAX_CANDIDATES, MAX_BLOCK = 100, 1500
