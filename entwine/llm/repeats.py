@@ -9,6 +9,9 @@ have equal anchors, so the corpus falls apart into buckets by anchor that never
    only lets more through, never less.
 2. Runs of windows with one anchor and a marked side become pieces (the bytes that the run spans). Equal pieces
    are counted as one before they are dealt out, so a passage of a third of all texts costs one piece.
+   A bucket of more than BLOCK_BYTES falls apart once more: windows are told by where the anchor stands in them, in
+   steps of CLASS bytes, and by the bytes that all such windows have. Equal windows stay together, and a group of
+   many variants of one passage is dealt to many tasks.
 3. A bucket's pieces are split into shards; each shard gets its transform, the transforms are merged by
    interleave refinement, and the runs of LENGTH common bytes that hold two places or more are the repeats.
 4. The repeated places go back to the texts, are joined into spans there, and the rest is kept.
@@ -38,8 +41,11 @@ from .common import bitmap, in_bitmap, materialize, mix, powers, sieve, string_c
 
 LENGTH, GRAM = 200, 32
 HALF = (LENGTH - GRAM) // 2
-#: Bytes of whole buckets that are merged at once; one larger bucket is merged alone.
+#: Bytes of whole buckets that are merged at once; a larger bucket falls apart first.
 BLOCK_BYTES = 1 << 19
+#: Places of the anchor in a window that count as one; bytes around the anchor that all such windows have.
+CLASS = 24
+SURE = LENGTH - CLASS + 1
 
 _BYTE = np.random.default_rng(31).integers(1, 1 << 63, 256).astype(np.uint64)
 
@@ -77,6 +83,7 @@ class _Runs:
         at, self.row = anchor[first], row[first]
         low = offs[self.row]
         self.n, self.first, self.end, self.bucket = len(first), windows[first] - low, windows[last] + 1 - low, hashes[at]
+        self.at = at - low
         self.middle = at - HALF - low  # the window that reaches HALF bytes to both sides
         has = self.first <= self.middle, self.end > self.middle
         begin = np.where(has[0], at - HALF, 0), np.where(has[1], at, 0)
@@ -112,7 +119,7 @@ def marked_anchors(texts: DataFrame) -> np.ndarray:
 
 
 def pieces(texts: DataFrame, marks: np.ndarray) -> DataFrame:
-    """(id, th, start, bucket, piece): the runs of windows whose anchor is marked."""
+    """(id, th, start, at, bucket, piece): the runs of windows whose anchor is marked; at: the anchor's place in the piece."""
     sent = texts.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +135,7 @@ def pieces(texts: DataFrame, marks: np.ndarray) -> DataFrame:
                 first = np.where(marked[0], runs.first, np.maximum(runs.first, runs.middle))
                 end = np.where(marked[1], runs.end, np.minimum(runs.end, runs.middle + 1))
                 keep = np.flatnonzero((marked[0] | marked[1]) & (first < end))
-                row, first, end, h = runs.row[keep], first[keep], end[keep], runs.bucket[keep]
+                row, first, end, h, anchor = runs.row[keep], first[keep], end[keep], runs.bucket[keep], runs.at[keep]
                 for k in range(0, len(row), 5000):
                     part = slice(k, k + 5000)
                     low = offs[row[part]] + first[part]
@@ -137,10 +144,36 @@ def pieces(texts: DataFrame, marks: np.ndarray) -> DataFrame:
                     data = buf[np.arange(edge[-1]) + np.repeat(low - edge[:-1], size)]
                     piece = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(edge.astype(np.int32)), pa.py_buffer(data)])
                     where = pa.array(at + row[part])
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(where), batch.column(1).take(where), pa.array(first[part]), pa.array(h[part].view(np.int64)), piece], ["id", "th", "start", "bucket", "piece"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(where), batch.column(1).take(where), pa.array(first[part]), pa.array(anchor[part] - first[part]), pa.array(h[part].view(np.int64)), piece], ["id", "th", "start", "at", "bucket", "piece"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"id {kind}, th long, start long, bucket long, piece binary")
+    return texts.mapInArrow(run, f"id {kind}, th long, start long, at long, bucket long, piece binary")
+
+
+def parted(found: DataFrame) -> DataFrame:
+    """Pieces of large buckets, each as several by where the anchor stands in its windows, in buckets by the bytes that
+    all windows of a part have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, len(batch), 500):
+                rows = batch.slice(k, 500)
+                which, start, at, bucket, piece = [], [], [], [], []
+                for i, (s, p, b, x) in enumerate(zip(*[rows.column(c).to_pylist() for c in (2, 3, 4, 5)], strict=True)):
+                    for c in range((LENGTH - GRAM) // CLASS + 1):
+                        sure = p - c * CLASS  # where the bytes begin that every window of the part has
+                        low, high = max(0, sure - CLASS + 1), min(len(x) - LENGTH, sure)
+                        if low <= high:
+                            key = hashlib.blake2b(x[sure : sure + SURE], digest_size=8, salt=b"%d" % c, key=b.to_bytes(8, "little", signed=True))
+                            which.append(i)
+                            start.append(s + low)
+                            at.append(p - low)
+                            bucket.append(int.from_bytes(key.digest(), "little", signed=True))
+                            piece.append(x[low : high + LENGTH])
+                where = pa.array(which, pa.int64())
+                yield pa.RecordBatch.from_arrays([rows.column(0).take(where), rows.column(1).take(where), pa.array(start, pa.int64()), pa.array(at, pa.int64()), pa.array(bucket, pa.int64()), pa.array(piece, pa.binary())], ["id", "th", "start", "at", "bucket", "piece"])
+
+    return found.select("id", "th", "start", "at", "bucket", "piece").mapInArrow(run, f"id {found.schema['id'].dataType.simpleString()}, th long, start long, at long, bucket long, piece binary")
 
 
 def repeated_places(counted: DataFrame) -> DataFrame:
@@ -184,10 +217,17 @@ def repeated_places(counted: DataFrame) -> DataFrame:
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, starts array<struct<a, b>>): for each (id, hash of text) with repeats, where repeated windows start."""
     texts = _texts(docs, id_col, text_col)
-    found = materialize(pieces(texts, marked_anchors(texts))).withColumn("name", F.md5("piece"))
+    named = lambda df: df.withColumn("name", F.md5("piece"))
     place = F.struct("th", "start")
-    counted = found.groupBy("bucket", "name", "piece").agg(F.when(F.min(place) == F.max(place), 1).otherwise(2).alias("weight"))
-    places = materialize(repeated_places(counted))
+    weighed = lambda df: df.groupBy("bucket", "name", "piece").agg(F.when(F.min(place) == F.max(place), 1).otherwise(2).alias("weight"))
+    found = named(materialize(pieces(texts, marked_anchors(texts))))
+    counted = materialize(weighed(found))
+    large = materialize(counted.groupBy("bucket").agg(F.sum(F.octet_length("piece")).alias("bytes")).filter(F.col("bytes") > BLOCK_BYTES).select("bucket"))
+    parts = named(materialize(parted(found.join(large, "bucket"))))
+    small = lambda df: df.join(large, "bucket", "left_anti")
+    places = materialize(repeated_places(small(counted).unionByName(weighed(parts))))
+    columns = ["id", "th", "start", "bucket", "name"]
+    found = small(found).select(columns).unionByName(parts.select(columns))
     own = found.select("id", "th", "start", "bucket", "name").distinct().join(places, ["bucket", "name"])
     some = own.select("id", "th", F.explode(F.transform("places", lambda p: F.struct((F.col("start") + p["a"]).alias("a"), (F.col("start") + p["b"]).alias("b")))).alias("s"))
     keys = texts.select("id", "th", F.octet_length("text").alias("n"), F.md5("text").alias("name")).filter(F.col("n") >= LENGTH)

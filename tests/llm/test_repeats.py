@@ -64,11 +64,16 @@ def brute(texts):
     return out
 
 
-def test_whole_query(make, spark, tmp_path):
+@pytest.mark.parametrize("large", [repeats.BLOCK_BYTES, 0, 2000])
+def test_whole_query(make, spark, tmp_path, monkeypatch, large):
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", large)  # what is larger falls apart
     rng = random.Random(8)
     text = lambda n: "".join(rng.choice("abc dé") for _ in range(n))
     shared = text(400)
     texts = [text(300) + shared + text(50), shared[:250] + text(100), text(500), None, "", shared[:199], "x" * 450, text(90) * 4, shared, shared, "y" * 200, "y" * 199, text(100) + shared[100:300] + text(150)]
+    for _ in range(25):  # variants of one passage
+        k = rng.randrange(400)
+        texts.append(text(rng.randrange(30)) + shared[:k] + "#" + shared[k + 1 :] + text(rng.randrange(30)))
     make(texts).withColumn("th", F.lit(1)).write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in entry.op3_repeats(spark, str(tmp_path)).collect()}
     assert [got[i] for i in range(len(texts))] == brute(texts)
