@@ -89,6 +89,24 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+_held: dict[object, object] = {}
+
+
+def held(name: object, make: Callable[[], object]) -> object:
+    """What make() gives, kept by a worker for its next tasks, and only until it needs a thing of another name."""
+    if name not in _held:
+        let_go()
+        _held[name] = make()
+    return _held[name]
+
+
+def let_go() -> None:
+    """What a worker keeps for the tasks of one operator is not kept while it works for another."""
+    if _held:
+        _held.clear()
+    give_back()
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that df does not have."""
     taken = {c.lower() for c in df.columns}
@@ -133,7 +151,7 @@ _powers: list[np.ndarray] = []
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
-        n = max(n, 2 * len(_powers[0]) if _powers else 1 << 16)
+        n = max(n, min(2 * len(_powers[0]), CHUNK_BYTES + 2) if _powers else 1 << 16)
         _powers[:] = [np.multiply.accumulate(np.r_[np.uint64(1), np.full(n - 1, p, np.uint64)]) for p in (_P, _P_INV)]
     return _powers[0], _powers[1]
 

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from .common import give_back, mix, powers, string_chunks
+from .common import give_back, held, mix, powers, string_chunks
 
 MARK = "▁"
 _MARK = MARK.encode()
@@ -394,13 +393,9 @@ def _words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, np.append(starts[1:], len(buf)) if len(starts) else starts, np.searchsorted(offs, starts, "right") - 1
 
 
-@cache
 def pieces(path: str) -> Pieces:
-    """One table of a model for a worker's life."""
-    give_back()
-    made = Pieces(path)
-    give_back()
-    return made
+    """The tables of a model, for as long as a worker encodes or decodes."""
+    return held(("pieces", path), lambda: Pieces(path))
 
 
 def encode(text: Column, model: str = DEFAULT_MODEL) -> Column:

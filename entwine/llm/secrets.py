@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, unused
+from .common import let_go, materialize, unused
 
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 BASE = {
@@ -85,6 +85,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(row, id, repository, owner, spans): all candidate spans of each text; values only as hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             text = pc.fill_null(batch.column(3), "")
             spans: list[list[dict]] = [[] for _ in range(len(text))]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, materialize, mix, sieve, spans, string_chunks, unused
+from .common import LOWER, SPACE, let_go, materialize, mix, sieve, spans, string_chunks, unused
 from .components import connected
 from .xxh64 import xxh64_spans
 
@@ -300,6 +300,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFram
     and its smallest id."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             at = 0
             for hashes, offs in _sets(batch.column(1), width):

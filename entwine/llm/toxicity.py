@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_WORD, WordCache, give_back, materialize, mix, span_hashes, spans, string_chunks
+from .common import NON_WORD, WordCache, give_back, held, let_go, materialize, mix, span_hashes, spans, string_chunks
 
 ORDER = 7
 DISCOUNT = 0.75
@@ -47,11 +47,11 @@ _GROUPS = ("o0", "o1", "t0", "t1")
 #: Words a task holds before it spells them out as n-grams, words spelt out at once, and n-grams held: they bound its
 #: memory.
 _HELD_WORDS, _BLOCK_WORDS, _HELD_GRAMS = 200_000, 10_000, 400_000
+#: Texts that are put in lower case at once.
+_ROWS = 500
 #: Labels are broadcast up to so many rows (about 40 MB as a hash table); of more, the training texts are
 #: dealt out by id once.
 BROADCAST_LABELS = 1_000_000
-#: A worker's unpacked models, each with its cache of word ratios; they outlive a task, not the next model.
-_models: dict[str, tuple] = {}
 
 
 def _expressions(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -189,6 +189,7 @@ def ngram_sums(train: DataFrame) -> DataFrame:
     """(g, o0, o1, t0, t1): the distinct n-grams and their counts by class and fold. train: (text, toxic int, fold int)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         words = _Words()
 
         def spill() -> Iterator[pa.RecordBatch]:
@@ -209,8 +210,8 @@ def ngram_sums(train: DataFrame) -> DataFrame:
 
         for batch in batches:
             group = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64) * 2 + batch.column(2).to_numpy(zero_copy_only=False)
-            for k in range(0, len(batch), 1000):
-                words.add(batch.column(0).slice(k, 1000), group[k : k + 1000])
+            for k in range(0, len(batch), _ROWS):
+                words.add(batch.column(0).slice(k, _ROWS), group[k : k + _ROWS])
                 if words.n > _HELD_WORDS:
                     yield from spill()
         yield from spill()
@@ -298,21 +299,23 @@ def _packed(*models: Model) -> tuple[str, bytes, list[bytes]]:
 
 
 def _unpacked(sent: tuple[str, bytes, list[bytes]]) -> tuple:
-    """The models, array by array, so that none is in memory twice; what a worker had before goes first."""
+    """The models, array by array, so that none is in memory twice, each with a cache of its word ratios."""
     name, frame, arrays = sent
-    if name not in _models:
-        _models.clear()
-        give_back()
+
+    def make() -> tuple:
         models = pickle.loads(frame, buffers=(zlib.decompress(x) for x in arrays))
-        _models[name] = models, [WordCache() for _ in models]
-    return _models[name]
+        return models, [WordCache() for _ in models]
+
+    return held(("toxicity", name), make)
 
 
 def features(text: pa.Array, model: Model, cache: WordCache) -> np.ndarray:
     """Length-normalised ratios of each whole text. cache: ratios of this model's words met before."""
+    if len(text) > _ROWS:
+        return np.concatenate([features(text.slice(k, _ROWS), model, cache) for k in range(0, len(text), _ROWS)])
     out = np.zeros((len(text), _FEATURES))
-    for at, end, raw, offs in string_chunks(pc.utf8_lower(text)):
-        buf, n = raw, end - at
+    for at, end, buf, offs in string_chunks(pc.utf8_lower(text)):
+        n = end - at
         starts, ends, row = _expressions(buf, offs)
         if not len(starts):
             continue
