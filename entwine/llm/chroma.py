@@ -7,8 +7,8 @@ of offsets at which their integers are equal. An offset stands if the two overla
 shorter one, if a share LEAST_HITS of the overlap has equal integers, and if at most MOST_ERROR of all bits differ.
 
 The search is a join on seeds: two integers GAP places apart, where a run of equal seeds (a silence, a held
-tone) counts once. Of each query the SKIPPED seeds that are most frequent among the recordings are left out, and an
-offset is looked at if SEEDS of the others agree there; so one with SKIPPED + SEEDS equal seeds is never missed.
+tone) counts once. Every offset at which SEEDS seeds agree is looked at, however frequent these are; two recordings
+that share fewer (a silence and nothing else) are no alignment.
 Recordings of equal fingerprints are searched as one class and named by their smallest id.
 
 A null, empty or too short recording has no integers and matches nothing; non-finite samples count as 0.
@@ -26,10 +26,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize, mix
+from .common import materialize, mix, sieve
 
 RATE = 5512
 FRAME, HOP = 1024, 170
@@ -41,8 +40,8 @@ STEP = 0.5
 #: that may differ. Measured on rendered tunes: excerpts under noise of up to half their loudness differ in 0.07 of their
 #: bits at most and share 0.18 of their integers at least; tunes of which a fifth or more is another differ in 0.11 or more.
 LEAST_OVERLAP, LEAST_HITS, MOST_ERROR = 0.5, 0.15, 0.09
-#: Places between the two integers of a seed; equal seeds by which an offset is found; frequent ones left out.
-GAP, SEEDS, SKIPPED = 24, 2, 6
+#: Places between the two integers of a seed; equal seeds that an alignment has at least; seeds of a query left out.
+GAP, SEEDS, SKIPPED = 24, 2, 0
 
 
 @cache
@@ -161,11 +160,8 @@ def search(queries: DataFrame, known: DataFrame) -> DataFrame:
     asked = materialize(queries.filter(F.size("values") > 0).select(F.monotonically_increasing_id().alias("row"), F.col("id").alias("query"), "values"))
     put = materialize(_seeds(asked, "row"))
     places = _seeds(reps, "print").withColumnRenamed("place", "at")
-    near = materialize(places.join(put.select("seed").distinct(), "seed", "left_semi"))
-    often = near.groupBy("seed").agg(F.count("*").alias("often"))
-    rank = F.row_number().over(W.partitionBy("row").orderBy(F.desc("often"), "seed", "place"))
-    rare = put.join(often, "seed").withColumn("rank", rank).filter(F.col("rank") > SKIPPED).select("row", "place", "seed")
-    seeds = materialize(rare).join(near, "seed").groupBy("row", "print", (F.col("at") - F.col("place")).alias("offset")).agg(F.count("*").alias("n"))
+    places = places.filter(sieve(put.select("seed"))(F.col("seed")))  # seeds of no query are not dealt
+    seeds = put.join(places, "seed").groupBy("row", "print", (F.col("at") - F.col("place")).alias("offset")).agg(F.count("*").alias("n"))
     found = materialize(seeds.filter(F.col("n") >= SEEDS).select("row", "print", "offset"))
     whole = found.join(reps.withColumnRenamed("values", "r"), "print").join(asked.withColumnRenamed("values", "a"), "row")
     low, high = F.greatest(F.lit(0), F.col("offset")), F.least(F.size("r"), F.size("a") + F.col("offset"))

@@ -86,6 +86,17 @@ def test_search_against_brute_force(spark):
     assert {(0, 6), (6, 0), (1, 7), (2, 8)} <= set(got) and (0, 1) not in got and (9, 10) not in got  # a silence has one seed
 
 
+def test_few_and_frequent_seeds_are_enough(spark):
+    rng = np.random.default_rng(6)
+    one = rng.integers(0, 1 << 32, 90)
+    equal = np.isin(np.arange(90), [0, 1, 2, 3, 24, 25, 26, 27, *range(60, 66)])  # four seeds, 14 integers
+    some = [one, np.where(equal, one, one ^ 1)]
+    some += [np.where(equal, one, rng.integers(0, 1 << 32, 90)) for _ in range(5)]  # the same seeds, but other tunes
+    rows = [(i, [int(x) for x in v]) for i, v in enumerate(some)]
+    got = found(prints(spark, rows[:1]), prints(spark, rows))
+    assert set(got) == {(0, 0), (0, 1)} and got[0, 1].hits == 14 and got[0, 1].offset == 0
+
+
 def test_recall_and_precision_of_noisy_excerpts(spark, tmp_path):
     rng = np.random.default_rng(8)
     rows = [(i, [float(x) for x in rng.normal(0, 0.125, 64)]) for i in range(3000)]
