@@ -2,8 +2,8 @@
 
 High-recall generators propose overlapping spans: four base kinds, whose own tests decide, and loose kinds, which
 have no test. Every candidate is described by its format (groups, letters, separators) and its context (the words
-and marks around it); boosted trees, fitted on a bounded sample of candidates, score it, and a threshold per kind,
-calibrated on held-out candidates, selects which loose candidates are added. The trees become one SQL expression
+and marks around it); boosted trees, fitted on all labelled candidates, score it, and a threshold per kind,
+calibrated on all held-out ones (a quarter), selects which loose candidates are added. The trees become one SQL expression
 over features that were written once, so nothing is searched twice: no shuffle of texts, no Python.
 
 The trees learn from the base tests. A base candidate is data if it passes its test, a name with an at-sign but no
@@ -54,8 +54,6 @@ ALL = GENERATORS | LOOSE | NEAR
 FEATURES = ("groups", "longest", "letters", "others", "distinct", "brackets", "contact_word", "money_word", "net_word", "id_word", "code_around", "word_before", "digit_near", "family_email", "family_ip", "family_card", "family_phone", "loose")
 #: The base kind whose features and labels each loose kind shares.
 FAMILY = {"email_spelt": "email", "phone_local": "phone", "phone_trunk": "phone", "ssn": "card", "handle": "email"}
-#: Candidates at most on which the trees are fitted (the first by a hash of their text).
-FIT_ROWS = 20_000
 #: Share of the selected held-out candidates that must be data, by which each kind's threshold is set; a kind with
 #: fewer labelled held-out candidates than these takes the threshold of all kinds together.
 PRECISION, LEAST_LABELLED = 0.95, 20
@@ -194,15 +192,17 @@ def _label(c: Column) -> Column:
 
 def fit(found: DataFrame) -> tuple[Callable[[Column], Column], dict[str, float]]:
     """A function from the array of features to the score, and the threshold of each kind. found: as candidates gives
-    it, of the whole table; a bounded sample of its labelled candidates is used."""
+    it, of the whole table. Candidates of one kind, label, fold and features count as one row with their number as its
+    weight, so the fit costs as much as there are different ones."""
     one = found.filter(F.size("cands") > 0).select("id", F.explode("cands").alias("c"))
-    known = one.select(F.xxhash64("id", "c.start", "c.kind").alias("h"), F.col("c.kind").alias("kind"), F.col("c.f").alias("f"), _label(F.col("c")).alias("label")).filter("label is not null")
-    sample = materialize(known.orderBy("h", "kind").limit(FIT_ROWS))
-    n, positive = sample.agg(F.count("*"), F.sum("label")).first()
+    known = one.select((F.pmod(F.xxhash64("id", "c.start", "c.kind"), F.lit(4)) == 0).alias("held"), F.col("c.kind").alias("kind"), F.col("c.f").alias("f"), _label(F.col("c")).alias("label")).filter("label is not null")
+    alike = materialize(known.groupBy("held", "kind", "label", "f").agg(F.count("*").cast("double").alias("weight")))
+    n, positive = alike.agg(F.sum("weight"), F.sum(F.col("weight") * F.col("label"))).first()
     if not n or not 0 < positive < n:
         return lambda f: F.lit(0.0), {}
-    ready = sample.select("kind", "label", array_to_vector("f").alias("features"), (F.pmod("h", F.lit(4)) == 0).alias("held"), "f").coalesce(1)
-    model = GBTClassifier(maxIter=8, maxDepth=4, stepSize=0.3, seed=7, featuresCol="features", labelCol="label").fit(ready.filter("not held"))
+    # in one task and in order: sums of another order could turn a tie between two splits
+    ready = alike.withColumn("features", array_to_vector("f")).coalesce(1).sortWithinPartitions("f", "kind", "label")
+    model = GBTClassifier(maxIter=8, maxDepth=4, stepSize=0.3, seed=7, featuresCol="features", labelCol="label", weightCol="weight").fit(ready.filter("not held"))
     trees, weights = list(model.trees), [float(w) for w in model.treeWeights]
 
     def margin(f: Column) -> Column:
@@ -211,9 +211,10 @@ def fit(found: DataFrame) -> tuple[Callable[[Column], Column], dict[str, float]]
             total = total + F.lit(w) * _tree(t._call_java("rootNode"), f)
         return 1 / (1 + F.exp(-2 * total))
 
-    held = ready.filter("held").select("kind", "label", margin(F.col("f")).alias("score"))
+    held = alike.filter("held").select("kind", "label", "weight", margin(F.col("f")).alias("score"))
     steps = [k / 20 for k in range(1, 20)]
-    sums = [F.count("*").alias("n"), *[F.sum(F.when(F.col("score") >= t, 1.0).otherwise(0.0)).alias(f"n{i}") for i, t in enumerate(steps)], *[F.sum(F.when(F.col("score") >= t, F.col("label")).otherwise(0.0)).alias(f"p{i}") for i, t in enumerate(steps)]]
+    total = lambda value, t: F.sum(F.when(F.col("score") >= t, value).otherwise(0.0))
+    sums = [F.sum("weight").alias("n"), *[total(F.col("weight"), t).alias(f"n{i}") for i, t in enumerate(steps)], *[total(F.col("weight") * F.col("label"), t).alias(f"p{i}") for i, t in enumerate(steps)]]
     cut = lambda row: next((t for i, t in enumerate(steps) if t >= 0.5 and row[f"n{i}"] and row[f"p{i}"] / row[f"n{i}"] >= PRECISION), 1.01)
     every = held.agg(*sums).first()
     limits = dict.fromkeys(ALL, cut(every) if every["n"] else 1.01)

@@ -81,3 +81,16 @@ def test_thresholds_against_a_plain_count(make):
         cuts = [k / 20 for k in range(10, 20) if (s := [r.y for r in of if r.p >= k / 20]) and sum(s) / len(s) >= pii.PRECISION]
         assert limits[kind] == (cuts[0] if cuts else 1.01), kind
     assert {r.y for r in held if r.kind == "card"} == {0.0, 1.0} and {r.y for r in known if r.kind == "phone_local"} >= {1.0}
+
+
+def test_the_fit_takes_every_candidate(spark):
+    """Of 25,000 labelled candidates only the 100 that a hash of their place puts last are none."""
+    rows = spark.range(25_000).withColumn("h", F.xxhash64("id", F.lit(10), F.lit("email")))
+    last = rows.orderBy(F.desc("h")).limit(100).agg(F.min("h")).first()[0]
+    bad = F.col("h") >= last
+    f = F.array(*[F.when(bad, 1.0).otherwise(0.0)] * len(pii.FEATURES))
+    found = rows.select("id", F.array(F.struct(F.lit("email").alias("kind"), F.lit(10).alias("start"), F.lit(20).alias("end"), (~bad).alias("base"), F.lit(False).alias("over_pass"), F.lit(False).alias("over_fail"), f.alias("f"))).alias("cands"))
+    margin, limits = pii.fit(found)
+    assert limits["email"] == 0.5
+    got = spark.range(2).select(margin(F.array(*[F.col("id").cast("double")] * len(pii.FEATURES))).alias("p")).collect()
+    assert got[0].p > 0.5 > got[1].p
