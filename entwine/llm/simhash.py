@@ -39,9 +39,14 @@ PIVOTS = np.random.default_rng(20).integers(0, 1 << 64, (24, 4), dtype=np.uint64
 PAIR_ROWS = 32
 
 #: Min-hashes of a set of shingles, for a similarity below what 3 bits can tell: BANDS keys of ROWS minima each.
-#: They only find candidates: a pair at the least Jaccard similarity SHARED / OF shares no key with a chance of
-#: (1 - 0.8^5)^32, 3 in a million; every link is verified on the sets.
+#: They only bring candidates together: a pair at the least Jaccard similarity SHARED / OF shares no key with a chance of
+#: (1 - 0.8^5)^32, 3 in a million. Within a key the sets' SimHash fingerprints of WORDS words and their distances to
+#: reference fingerprints thin the pairs, and every link is verified on the sets.
 BANDS, ROWS, SHARED, OF = 32, 5, 4, 5
+#: Of the 512 bits of two sets at that similarity each differs with a chance of 0.1875 at most (four shingles and one
+#: more), so over 160 do with a chance of 4 in a million millions; of unrelated sets half differ.
+WORDS, WIDE_RADIUS = 8, 160
+_TURN, _SPIN = np.random.default_rng(2000).integers(0, 1 << 64, (2, WORDS), dtype=np.uint64) | np.array([[0], [1]], np.uint64)
 _XOR, _TIMES = np.random.default_rng(1000).integers(0, 1 << 64, (2, BANDS * ROWS), dtype=np.uint64) | np.array([[0], [1]], np.uint64)
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.float64)
@@ -79,10 +84,7 @@ def _fingerprints(column: pa.Array, width: int) -> np.ndarray:
     for at, end, raw, raw_offs in string_chunks(column):
         buf, offs = squeezed(raw, raw_offs)
         starts, ends, row = shingles(buf, offs, width)
-        one, n = xxh64_spans(buf, starts, ends, SEED).view(np.uint8).reshape(-1, 8), end - at
-        half = np.bincount(row, minlength=n)[:, None]
-        counts = [np.bincount(row * 256 + one[:, i], minlength=n * 256).reshape(n, 256) @ _BITS for i in range(8)]
-        out[at:end, 0] = np.packbits(2 * np.concatenate(counts, axis=1) > half, axis=1, bitorder="little").view("<u8")[:, 0]
+        out[at:end, 0] = _voted(xxh64_spans(buf, starts, ends, SEED), row, end - at)
     return out
 
 
@@ -99,6 +101,20 @@ def _sets(column: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray
         yield hashes[new], np.searchsorted(row[new], np.arange(end - at + 1))
 
 
+def _voted(words: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """For each of n rows the bits that are set in over half of its 64-bit words."""
+    one, half = words.view(np.uint8).reshape(-1, 8), np.bincount(row, minlength=n)[:, None]
+    counts = [np.bincount(row * 256 + one[:, i], minlength=n * 256).reshape(n, 256) @ _BITS for i in range(8)]
+    return np.packbits(2 * np.concatenate(counts, axis=1) > half, axis=1, bitorder="little").view("<u8")[:, 0]
+
+
+def _set_prints(hashes: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """The SimHash fingerprint of each set, a row of WORDS words."""
+    n = len(offs) - 1
+    row = np.repeat(np.arange(n), np.diff(offs))
+    return np.stack([_voted(mix((hashes ^ _TURN[k]) * _SPIN[k]), row, n) for k in range(WORDS)], axis=1)
+
+
 def _digests(hashes: np.ndarray, offs: np.ndarray) -> list[bytes]:
     return [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest() for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
 
@@ -128,9 +144,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return one.mapInArrow(run, "id long, fp long")
 
 
-def distances(fps: np.ndarray) -> np.ndarray:
+def distances(fps: np.ndarray, pivots: np.ndarray = PIVOTS) -> np.ndarray:
     """The pivot table: Hamming distance of each fingerprint (a row of 64-bit words) to each reference."""
-    pivots = PIVOTS[:, : fps.shape[1]]
+    pivots = pivots[:, : fps.shape[1]]
     return sum(np.bitwise_count(fps[:, w, None] ^ pivots[:, w]).astype(np.int16) for w in range(fps.shape[1]))
 
 
@@ -242,55 +258,59 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(root, "fp", "left")
 
 
-def _alike(sets: list[np.ndarray], reps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _alike(sets: list[np.ndarray], prints: np.ndarray, reps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links that join one key's sets as all its pairs of a Jaccard similarity of SHARED / OF or more would. As
-    in _forest each set, once reached, is compared with all that no tree has reached yet."""
+    in _forest each set, once reached, is compared with all that no tree has reached yet: by pivots, then by the
+    fingerprints' bits, then what is left by the sets. References are fingerprints of the key, since those of no relation
+    to it are all equally far at a radius as wide as this."""
     order = np.argsort(reps, kind="stable")
-    sets, reps = [sets[i] for i in order.tolist()], reps[order]
+    sets, prints, reps = [sets[i] for i in order.tolist()], prints[order], reps[order]
+    table = distances(prints, prints[np.unique(np.linspace(0, len(prints) - 1, len(PIVOTS)).astype(np.int64))])
     size = np.array([len(x) for x in sets])
     bounds = np.r_[0, np.cumsum(size)]
     _, item = np.unique(np.concatenate(sets), return_inverse=True)
     has = np.zeros(len(item) + 1, bool)
-    rest, left_items, left_rows = np.arange(len(sets)), item, np.repeat(np.arange(len(sets)), size)
+    rest = np.arange(len(sets))
     left, right = [], []
-    open_: list[int] = []
     while len(rest):
-        i = heapq.heappop(open_) if open_ else int(rest[0])
-        mine = item[bounds[i] : bounds[i + 1]]
-        has[mine] = True
-        both = np.bincount(left_rows[has[left_items]], minlength=len(sets))[rest]
-        has[mine] = False
-        hit = (OF * both >= SHARED * (size[i] + size[rest] - both)) & (rest != i)
-        gone = hit | (rest == i)
-        left.append(np.full(int(hit.sum()), reps[i]))
-        right.append(reps[rest[hit]])
-        for j in rest[hit].tolist():
-            heapq.heappush(open_, j)
-        if gone.any():
-            stays = np.ones(len(sets), bool)
-            stays[rest[gone]] = False
-            rest, keep = rest[~gone], stays[left_rows]
-            left_items, left_rows = left_items[keep], left_rows[keep]
+        open_, rest = [int(rest[0])], rest[1:]
+        while open_ and len(rest):
+            i = heapq.heappop(open_)
+            some = np.flatnonzero(near(prints[i : i + 1], table[i : i + 1], prints[rest], table[rest], WIDE_RADIUS))
+            n = size[rest[some]]
+            at = np.arange(n.sum()) + np.repeat(bounds[rest[some]] - np.cumsum(n) + n, n)
+            mine = item[bounds[i] : bounds[i + 1]]
+            has[mine] = True
+            both = np.bincount(np.repeat(np.arange(len(some)), n)[has[item[at]]], minlength=len(some))
+            has[mine] = False
+            hit = np.zeros(len(rest), bool)
+            hit[some[OF * both >= SHARED * (size[i] + n - both)]] = True
+            new, rest = rest[hit], rest[~hit]
+            left.append(np.full(len(new), reps[i]))
+            right.append(reps[new])
+            for j in new.tolist():
+                heapq.heappush(open_, j)
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, rep, set) in the order of key: the links within each key."""
-    now, reps, sets = None, [], []
+    """Rows (key, rep, set, fingerprint) in the order of key: the links within each key."""
+    now, reps, sets, prints = None, [], [], []
 
     def found() -> pa.RecordBatch:
-        a, b = _alike(sets, np.array(reps, np.int64)) if len(sets) > 1 else (np.zeros(0, np.int64),) * 2
+        a, b = _alike(sets, np.stack(prints), np.array(reps, np.int64))
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["src", "dst"])
 
     for batch in batches:
-        for key, rep, one in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+        for key, rep, one, bits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
             if key != now:
                 if len(sets) > 1:
                     yield found()
-                now, reps, sets = key, [], []
+                now, reps, sets, prints = key, [], [], []
             reps.append(rep)
             sets.append(np.frombuffer(one.as_py(), np.uint64))
+            prints.append(np.frombuffer(bits.as_py(), np.uint64))
     if len(sets) > 1:
         yield found()
 
@@ -315,12 +335,13 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFram
             for hashes, offs in _sets(batch.column(1), width):
                 n = len(offs) - 1
                 ids, digests, keys = (batch.column(k).slice(at, n).to_pylist() for k in (0, 2, 3))
+                prints = _set_prints(hashes, offs)
                 for i, digest in enumerate(_digests(hashes, offs)):
                     if digest == digests[i]:  # of rows of one id, those of the class
                         one = hashes[offs[i] : offs[i + 1]].tobytes()
                         for k in range(0, len(keys[i]), 8):
                             some = keys[i][k : k + 8]
-                            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([ids[i]] * len(some), pa.int64()), pa.array([one] * len(some), pa.binary())], ["key", "rep", "shingles"])
+                            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([ids[i]] * len(some), pa.int64()), pa.array([one] * len(some), pa.binary()), pa.array([prints[i].tobytes()] * len(some), pa.binary())], ["key", "rep", "shingles", "print"])
                 at += n
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
@@ -337,7 +358,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFram
     owners = materialize(owners)
     # Dealt out before the join in any case, so that no task has two workers, one for the sieve and one for the sets.
     asked = rows.filter(sieve(owners.select("id"))(F.col("id"))).repartition(F.col("id"))
-    sets = asked.join(owners, "id").select("rep", "text", "digest", "keys").mapInArrow(spread, "key long, rep long, shingles binary")
+    sets = asked.join(owners, "id").select("rep", "text", "digest", "keys").mapInArrow(spread, "key long, rep long, shingles binary, print binary")
     found = sets.repartition(F.col("key")).sortWithinPartitions("key", "rep").mapInArrow(_verified, "src long, dst long").distinct()
     members = materialize(classes.select("rep", "digest", "least").join(connected(found).withColumnRenamed("node", "rep"), "rep", "left").select("digest", "least", F.coalesce("root", "rep").alias("root")))
     root = members.join(members.groupBy("root").agg(F.min("least").alias("component")), "root").select("digest", "root", "component")
@@ -346,7 +367,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFram
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
     """(id, component): for each row with an id the smallest id reachable over links between texts whose sets of word
-    shingles have a Jaccard similarity of 0.8 or more. Min-hashes find the candidates, the sets decide."""
+    shingles have a Jaccard similarity of 0.8 or more. Min-hashes bring candidates together, SimHash fingerprints and
+    their pivot tables thin them, the sets decide."""
     return _groups(docs, id_col, text_col, width).select("id", "component")
 
 

@@ -118,6 +118,29 @@ def test_similar_is_the_exact_jaccard_of_0_8(make):
         assert got[i] == i and (got[i + 1] == i) == (jaccard(texts[i], texts[i + 1]) >= 0.8), i
 
 
+def test_sets_are_thinned_by_fingerprints_and_pivots(monkeypatch):
+    rng = np.random.default_rng(5)
+    sets = []
+    for n in (4, 8, 12, 40, 180) * 30:
+        whole = np.unique(rng.integers(0, 1 << 64, n + n // 4, dtype=np.uint64))
+        sets += [np.sort(whole[rng.permutation(len(whole))[:n]]), whole]  # a similarity of 0.8
+    offs = np.r_[0, np.cumsum([len(x) for x in sets])]
+    prints = simhash._set_prints(np.concatenate(sets), offs)
+    for i in (0, 9, 31):
+        for k in (0, simhash.WORDS - 1):
+            h = simhash.mix((sets[i] ^ simhash._TURN[k]) * simhash._SPIN[k]).tolist()
+            assert int(prints[i, k]) == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    assert max(np.bitwise_count(prints[i] ^ prints[i + 1]).sum() for i in range(0, len(sets), 2)) <= simhash.WIDE_RADIUS
+    want = [(i, i + 1) for i in range(0, len(sets), 2)]
+    reps, seen = np.arange(len(sets)), []
+    near = simhash.near
+    monkeypatch.setattr(simhash, "near", lambda *a: seen.append(near(*a)) or seen[-1])
+    assert sorted(zip(*(x.tolist() for x in simhash._alike(sets, prints, reps)), strict=True)) == want
+    assert sum(x.sum() for x in seen) < 1.1 * len(want) < sum(len(x) for x in seen) / 50  # of all pairs few reach the sets
+    prints[1] = ~prints[0]
+    assert sorted(zip(*(x.tolist() for x in simhash._alike(sets, prints, reps)), strict=True)) == want[1:]
+
+
 def test_repeated_lines_link_nothing(make):
     rng = random.Random(4)
     line = [f"r{k}" for k in range(7)] * 100
