@@ -149,8 +149,12 @@ def _r(f: Callable) -> Callable:
 
 
 def pair_features(spark: SparkSession, d: str) -> DataFrame:
+    return _features(spark, d, _candidates(spark, d))
+
+
+def _features(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
     s1, t = _sides(spark, d)
-    found = features.pair_features(_candidates(spark, d), s1.drop("source"), features.last_of_each(t))
+    found = features.pair_features(pairs, s1.drop("source"), features.last_of_each(t))
     return _long(found, "name_len_diff_abs", "name_token_count_diff", "addr_len_diff_abs", "addr_token_count_diff", "num_rules_triggered")
 
 
@@ -239,8 +243,8 @@ def hard_negatives(spark: SparkSession, d: str) -> DataFrame:
     return _long(found, "is_hard_negative")
 
 
-def _gbt(spark: SparkSession, d: str) -> DataFrame:
-    f = features.labelled(pair_features(spark, d), _truth(spark, d), _val(spark, d)).persist()  # read by every round of the fit
+def _gbt(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
+    f = features.labelled(_features(spark, d, pairs), _truth(spark, d), _val(spark, d)).persist()  # read by every round of the fit
     return models.scores(models.train(f), f)
 
 
@@ -248,13 +252,14 @@ def gbt_scores(spark: SparkSession, d: str) -> DataFrame:
     """What SQL can say of the scores of boosted trees: how many pairs there are by label and fold, that all scores are
     probabilities, and that their means lie on the right side."""
     right = F.when(F.col("is_match") == 1, F.avg("score") > 0.5).otherwise(F.avg("score") < 0.5)
-    found = _gbt(spark, d).groupBy("is_match", "is_validation").agg(F.count("*").alias("n"), F.bool_and(F.col("score").between(0, 1)).alias("in_range"), right.alias("right_side"))
+    found = _gbt(spark, d, _candidates(spark, d)).groupBy("is_match", "is_validation").agg(F.count("*").alias("n"), F.bool_and(F.col("score").between(0, 1)).alias("in_range"), right.alias("right_side"))
     return _long(found, "is_match", "is_validation")
 
 
 def inference_matches(spark: SparkSession, d: str) -> DataFrame:
     """What SQL can say of the final lists: one for each entity, their ids candidates of it, each once and in order."""
-    lists = joined_lists(_entities(spark, d), models.matches(_gbt(spark, d), 0.5)).join(candidate_export(spark, d), "s1_entity_id")
+    pairs = _candidates(spark, d).persist()  # scored, and listed
+    lists = joined_lists(_entities(spark, d), models.matches(_gbt(spark, d, pairs), 0.5)).join(joined_lists(_entities(spark, d), pairs, out="candidate_ids"), "s1_entity_id")
     items, pool = (F.array_remove(F.split(c, ","), "") for c in ("matching_ids", "candidate_ids"))
     return lists.agg(F.count("*").alias("n"), F.countDistinct("s1_entity_id").alias("entities"), F.bool_and(F.size(F.array_except(items, pool)) == 0).alias("candidates_only"), F.bool_and(items == F.array_sort(F.array_distinct(items))).alias("in_order"))
 

@@ -38,3 +38,9 @@ def test_blocks_of_very_common_keys_are_left_out(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(registry.blocking.pruned, "__defaults__", (8, ("rule", "key")))
     got = registry.queries()["sim_token_jaccard"](spark, str(tmp_path)).collect()
     assert got and all(int(r.target_entity_id.split("_")[1]) >= 100 for r in got)
+
+
+def test_final_lists_search_for_candidates_once(spark, monkeypatch):
+    calls, found = [], registry.blocking.candidates
+    monkeypatch.setattr(registry.blocking, "candidates", lambda *a: calls.append(a) or found(*a))
+    assert registry.queries()["inference_matches"](spark, D).first()["candidates_only"] and len(calls) == 1
