@@ -244,13 +244,21 @@ def hard_negatives(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _gbt(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
-    f = features.labelled(_features(spark, d, pairs), _truth(spark, d), _val(spark, d)).persist()  # read by every round of the fit
+    rows = features.labelled(pairs, _truth(spark, d), _val(spark, d))  # labels go along, since features are wide rows
+    f = _features(spark, d, rows).persist()  # fitted, and scored
     return models.scores(models.train(f), f)
 
 
+def _kept(spark: SparkSession, d: str) -> None:
+    """From now on, clean records and true pairs are made once for all that is built on them."""
+    _clean(spark, d).persist()
+    _truth(spark, d).persist()
+
+
 def gbt_scores(spark: SparkSession, d: str) -> DataFrame:
     """What SQL can say of the scores of boosted trees: how many pairs there are by label and fold, that all scores are
     probabilities, and that their means lie on the right side."""
+    _kept(spark, d)
     right = F.when(F.col("is_match") == 1, F.avg("score") > 0.5).otherwise(F.avg("score") < 0.5)
     found = _gbt(spark, d, _candidates(spark, d)).groupBy("is_match", "is_validation").agg(F.count("*").alias("n"), F.bool_and(F.col("score").between(0, 1)).alias("in_range"), right.alias("right_side"))
     return _long(found, "is_match", "is_validation")
@@ -258,6 +266,7 @@ def gbt_scores(spark: SparkSession, d: str) -> DataFrame:
 
 def inference_matches(spark: SparkSession, d: str) -> DataFrame:
     """What SQL can say of the final lists: one for each entity, their ids candidates of it, each once and in order."""
+    _kept(spark, d)
     pairs = _candidates(spark, d).persist()  # scored, and listed
     lists = joined_lists(_entities(spark, d), models.matches(_gbt(spark, d, pairs), 0.5)).join(joined_lists(_entities(spark, d), pairs, out="candidate_ids"), "s1_entity_id")
     items, pool = (F.array_remove(F.split(c, ","), "") for c in ("matching_ids", "candidate_ids"))
