@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.memory import freed
+
 #: Cells of a histogram that features share, and rows that are counted at once.
 _CELLS, _ROWS = 1024, 1 << 16
 Splits = list[np.ndarray]
@@ -154,6 +156,7 @@ def _worker(address: tuple[str, int], key: bytes, sizes: list[int]) -> Callable[
         x.clear()
         train, test = Rows(every[:, ~kept], label[~kept], sizes, True), Rows(every[:, kept], label[kept], sizes, False)
         del every
+        freed()
         with _at_once(Client(address, authkey=key)) as driver:
             driver.send((len(train.y), len(test.y)))
             while (order := driver.recv()) is not None:
@@ -170,6 +173,8 @@ def _worker(address: tuple[str, int], key: bytes, sizes: list[int]) -> Callable[
                     train.end(*given)
                     test.end(*given)
                     driver.send(test.loss())
+        del train, test
+        freed()
         yield pa.RecordBatch.from_pydict({"n": pa.array([len(label)], pa.int64())})
 
     return run
@@ -275,6 +280,8 @@ def fitted(rows: DataFrame, names: list[str], rounds: int, depth: int, step: flo
                 try:
                     while len(tasks) < parts:
                         tasks.append(_at_once(door.accept()))
+                        if over.is_set():
+                            return
                     grown.append(_boosted(tasks, sizes, rounds, depth, step, tolerance))
                 except (EOFError, OSError):  # a task is gone: Spark starts all of them again
                     pass
@@ -288,6 +295,9 @@ def fitted(rows: DataFrame, names: list[str], rounds: int, depth: int, step: flo
             cells.mapInArrow(_worker(door.address, key, sizes), "n long", barrier=True).collect()
         finally:
             over.set()
+            Client(door.address, authkey=key).close()  # the thread stops waiting for tasks
+            thread.join()
+            freed()
     return grown[-1], splits
 
 

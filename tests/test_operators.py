@@ -2,8 +2,11 @@ import json
 import zipfile
 
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from entwine.functions import similarity as S
 from entwine.operators import audit, blocking, checkpoints, evaluate, features, models, split, validate
 from entwine.operators.normalize import clean_records
 from entwine.sources import files, tables
@@ -185,6 +188,45 @@ def test_models(spark, tmp_path):
         checkpoints.chosen(root)
 
 
+def test_boosting_starts_few_jobs_and_grows_the_trees_of_spark_ml(spark):
+    rows = labelled_rows(spark).persist()
+    sc = spark.sparkContext
+    sc.setJobGroup("fit", "fit")
+    model = models.train(rows)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("fit")) < 15  # not some for each round
+    theirs = models.classifiers()["gbt"].setValidationIndicatorCol("held")
+    plain = Pipeline(stages=[VectorAssembler(inputCols=["strong", "noise"], outputCol="vector"), theirs]).fit(models.matrix(rows).withColumn("held", F.col("is_validation") == 1))
+    assert models.rounds(model) == models.rounds(plain)
+    a, b = ({tuple(r)[:2]: r.score for r in models.scores(m, rows).collect()} for m in (model, plain))
+    assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-6
+
+
+def test_features_of_odd_strings_are_those_of_the_expressions(spark):
+    odd = ["", "a", "ab", "the the moss", "moss the fern", "x " * 200, "y x " * 90, "Ünï çödé 12", "çödé 𝒳𝒴 12 12", "tab\tand\nline  two", "q" * 64, "q" * 63 + "r", "fern " * 13 + "moss"]
+    clean = [(f"{p}{i}", "", x, odd[(i * 5 + 1) % len(odd)] if i % 3 else "", "", odd[(i * 7 + 2) % len(odd)], str(i % 2) * (i % 3), "", " us" * (i % 2), "US" * (i % 4 > 1)) for p in ("S1_", "S2_") for i, x in enumerate(odd)]
+    columns = ", ".join(f"{c} string" for c in features.CLEAN)
+    one, two = (spark.createDataFrame([r for r in clean if r[0].startswith(p)], columns) for p in ("S1", "S2"))
+    pairs = spark.createDataFrame([(f"S1_{i}", f"S2_{j}", ["rule_exact_name"]) for i in range(len(odd) + 1) for j in range(len(odd) + 1)], PAIR + ", rules array<string>")
+    got = features.pair_features(pairs, one, two)
+    side = lambda df, p, key: df.select(F.col("entity_id").alias(key), *[F.col(c).alias(f"{p}_{c}") for c in features.CLEAN[1:]])
+    x = pairs.join(side(one, "a", "s1_entity_id"), "s1_entity_id", "left").join(side(two, "b", "target_entity_id"), "target_entity_id", "left").na.fill("")
+    for p in "ab":
+        x = x.withColumn(f"{p}_core", F.when(F.col(f"{p}_clean_name_no_suffix") != "", F.col(f"{p}_clean_name_no_suffix")).otherwise(F.col(f"{p}_normalized_name")))
+        x = x.withColumn(f"{p}_all", F.trim(F.concat_ws(" ", f"{p}_core", f"{p}_normalized_address")))
+    both = lambda f, c: F.round(f(F.col(f"a_{c}"), F.col(f"b_{c}")), 4)
+    name, addr = "normalized_name", "normalized_address"
+    want = {
+        "name_levenshtein_ratio": both(S.edit_ratio, name), "name_token_sort_ratio": both(S.token_sort_ratio, name), "name_token_set_ratio": both(S.token_set_ratio, "core"), "name_jaccard_similarity": both(S.token_jaccard, "core"),
+        "name_char_3gram_jaccard": both(S.ngram_jaccard, "core"), "addr_token_set_ratio": both(S.token_set_ratio, addr), "addr_levenshtein_ratio": both(S.edit_ratio, addr), "addr_char_3gram_jaccard": both(S.ngram_jaccard, addr),
+        "addr_numeric_overlap": both(S.numeric_jaccard, addr), "addr_len_ratio": both(S.length_ratio, addr), "addr_token_count_diff": both(S.token_count_difference, addr), "combined_text_similarity": both(S.token_set_ratio, "all"), "addr_postal_pin_match": both(S.postal_agreement, "postal_code"),
+    }
+    key = ["s1_entity_id", "target_entity_id"]
+    plain = {tuple(r)[:2]: tuple(r)[2:] for r in x.select(*key, *[c.cast("double").alias(n) for n, c in want.items()]).collect()}
+    found = {tuple(r)[:2]: tuple(r)[2:] for r in got.select(*key, *[F.col(n).cast("double") for n in want]).collect()}
+    assert found == plain and len(found) == (len(odd) + 1) ** 2
+
+
 def test_validation(spark):
     m = spark.createDataFrame([("k1", "p1, p2"), ("k2", None)], "s1_entity_id string, matching_ids string")
     c = spark.createDataFrame([("k1", "p1,p2,q1"), ("k2", "")], "s1_entity_id string, candidate_ids string")
