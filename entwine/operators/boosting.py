@@ -7,6 +7,7 @@ Several features share a histogram as long as their bins do, and of two children
 
 from __future__ import annotations
 
+import contextlib
 import os
 import secrets
 import socket
@@ -272,7 +273,7 @@ def fitted(rows: DataFrame, names: list[str], rounds: int, depth: int, step: flo
     cells = rows.select(*names, "is_match", "held").mapInArrow(_binned(splits), "x binary, y binary, held binary").repartition(parts)
     grown: list[list[tuple[Tree, float]]] = []
     with Listener((spark.conf.get("spark.driver.host"), 0), backlog=parts, authkey=key) as door:
-        over = threading.Event()
+        over, address = threading.Event(), door.address
 
         def serve() -> None:
             while not over.is_set():
@@ -285,6 +286,10 @@ def fitted(rows: DataFrame, names: list[str], rounds: int, depth: int, step: flo
                     grown.append(_boosted(tasks, sizes, rounds, depth, step, tolerance))
                 except (EOFError, OSError):  # a task is gone: Spark starts all of them again
                     pass
+                except BaseException:  # tasks must not wait for a driver that is gone
+                    over.set()
+                    door.close()
+                    raise
                 finally:
                     for t in tasks:
                         t.close()
@@ -292,10 +297,11 @@ def fitted(rows: DataFrame, names: list[str], rounds: int, depth: int, step: flo
         thread = threading.Thread(target=serve, daemon=True)
         thread.start()
         try:
-            cells.mapInArrow(_worker(door.address, key, sizes), "n long", barrier=True).collect()
+            cells.mapInArrow(_worker(address, key, sizes), "n long", barrier=True).collect()
         finally:
             over.set()
-            Client(door.address, authkey=key).close()  # the thread stops waiting for tasks
+            with contextlib.suppress(OSError):
+                Client(address, authkey=key).close()  # the thread stops waiting for tasks
             thread.join()
             freed()
     return grown[-1], splits
